@@ -1,10 +1,13 @@
 """Value frequencies over a click batch (A-16) and their mapping (D-08).
 
-``freq(v) = count(v) / count(non-null values)`` over the batch. The total is
-a scalar subquery (computed once, no cross join). The counts table has one
-row per distinct value; it is joined back without a hint, so AQE broadcasts
-it only when its measured size is under the threshold and otherwise plans a
-shuffle join.
+``freq(v) = count(v) / count(non-null values)`` over the batch.
+
+All dimensions are counted in one pass (one scan, one partially aggregated
+shuffle of ``(dim, value)`` keys). The result has one row per distinct value;
+it is materialised (``cache`` + count) before it is joined back, so the
+planner sees its true size: it is broadcast only when that size is under the
+broadcast threshold, and joined by a shuffle otherwise. Executor loss only
+drops cached blocks, which Spark recomputes from lineage.
 """
 
 from __future__ import annotations
@@ -19,32 +22,37 @@ FREQUENCY_DIMENSIONS = [("model_freq", "page_2_model"), ("category_freq", "main_
                         ("colour_freq", "colour")]
 
 
-def value_frequency(batch: DataFrame, col: str) -> DataFrame:
-    """(value, cnt, total, freq) for one column; nulls are not values."""
-    total = batch.agg(F.count(col)).scalar()
-    counts = batch.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
-        F.count(F.lit(1)).alias("cnt"))
-    return counts.select("value", "cnt", total.alias("total"), (F.col("cnt") / total).alias("freq"))
+def batch_frequencies(batch: DataFrame, dims: Sequence[tuple[str, str]] = FREQUENCY_DIMENSIONS) -> DataFrame:
+    """Long table (dim, value, cnt, total, freq); values as strings."""
+    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(c).cast("string").alias("value")) for d, c in dims])
+    long = batch.select(F.explode(pairs).alias("p")).select("p.dim", "p.value").where(F.col("value").isNotNull())
+    counts = long.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    # one row per dimension: broadcast size is bounded by len(dims)
+    totals = counts.groupBy("dim").agg(F.sum("cnt").alias("total"))
+    return (counts.join(F.broadcast(totals), "dim")
+            .select("dim", "value", "cnt", "total", (F.col("cnt") / F.col("total")).alias("freq")))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cache a small derived table and compute it once, so later joins are
+    planned from its real size."""
+    df = df.cache()
+    df.count()
+    return df
 
 
 # A-16
 def frequency_table(clicks: DataFrame, n_clicks: int | None = 5, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Long table (dim, value, cnt, total, freq) of model, category and
-    colour frequencies over the first ``n_clicks`` clicks of all sessions
-    (``None``: all clicks). Values are strings (colour codes as text), the
-    representation the stored table uses."""
+    """Model, category and colour frequencies over the first ``n_clicks``
+    clicks of all sessions (``None``: all clicks)."""
     from clickweave.operators.windows import first_n_clicks
 
     batch = first_n_clicks(clicks, n_clicks, tiebreak) if n_clicks else clicks
-    parts = []
-    for dim, col in FREQUENCY_DIMENSIONS:
-        f = value_frequency(batch, col)
-        parts.append(f.select(F.lit(dim).alias("dim"), F.col("value").cast("string").alias("value"),
-                              "cnt", "total", "freq"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return batch_frequencies(batch)
+
+
+def dimension(freqs: DataFrame, dim: str) -> DataFrame:
+    return freqs.where(F.col("dim") == dim).drop("dim")
 
 
 # D-08
@@ -57,15 +65,16 @@ def map_frequency(df: DataFrame, col: str, freqs: DataFrame, out: str, keep_coun
     joined = df.join(right, key == right["_fv"], "left")
     joined = joined.withColumn(out, F.coalesce(F.col("_ff"), F.lit(0.0)))
     if keep_count:
-        joined = joined.withColumn(f"{out}_cnt", F.coalesce(F.col("_fc"), F.lit(0)))
+        joined = joined.withColumn(f"{out}_cnt", F.coalesce(F.col("_fc"), F.lit(0).cast("bigint")))
     return joined.drop("_fv", "_ff", *(["_fc"] if keep_count else []))
 
 
 def attach_frequencies(df: DataFrame, batch: DataFrame, pairs: list[tuple[str, str]],
                        keep_count: bool = False) -> DataFrame:
-    """Per-click frequency columns computed over ``batch`` (in-batch form)."""
+    """Per-click frequency columns over ``batch`` (in-batch form)."""
+    freqs = materialize(batch_frequencies(batch, [(out, col) for col, out in pairs]))
     for col, out in pairs:
-        df = map_frequency(df, col, value_frequency(batch, col), out, keep_count)
+        df = map_frequency(df, col, dimension(freqs, out), out, keep_count)
     return df
 
 

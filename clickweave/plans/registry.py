@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweave.sources.tables import CLICKS_CTE, EVENT_CLICKS_CTE, MANUAL_LABELS_CTE
+from clickweave.sources.tables import CLICKS_CTE, EVENT_CLICKS_CTE, MANUAL_LABELS_CTE  # noqa: F401
 
 
 @dataclass(frozen=True)

@@ -216,3 +216,29 @@ manual_labels AS (
          CAST(substring(o_orderpriority, 1, 1) AS INTEGER) / 5.0 AS confidence
   FROM orders WHERE o_orderstatus IN ('F', 'O')
 )"""
+
+
+# Text intent labels derived from order priority: exercises label text
+# normalisation (several spellings per class).
+PRIORITY_TEXT_LABEL = {
+    "1-URGENT": " High-Intent", "2-HIGH": "high_intent", "3-MEDIUM": "low intent",
+    "4-NOT SPECIFIED": "LOW-INTENT ", "5-LOW": "0",
+}
+
+
+def text_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority"])
+    expr = F.lit(None).cast("string")
+    for k, v in reversed(list(PRIORITY_TEXT_LABEL.items())):
+        expr = F.when(F.col("o_orderpriority") == k, v).otherwise(expr)
+    return o.select(F.col("o_orderkey").alias("session_id"), expr.alias("intent_label"))
+
+
+TEXT_LABELS_CTE = """
+text_labels AS (
+  SELECT o_orderkey AS session_id,
+         CASE o_orderpriority WHEN '1-URGENT' THEN ' High-Intent' WHEN '2-HIGH' THEN 'high_intent'
+              WHEN '3-MEDIUM' THEN 'low intent' WHEN '4-NOT SPECIFIED' THEN 'LOW-INTENT ' WHEN '5-LOW' THEN '0' END
+           AS intent_label
+  FROM orders
+)"""
