@@ -83,3 +83,15 @@ def sql_case(expr: str, mapping: dict, quote_values: bool = True) -> str:
         return str(v)
     whens = " ".join(f"WHEN {lit(k)} THEN {lit(v) if quote_values else v}" for k, v in mapping.items())
     return f"(CASE {expr} {whens} END)"
+
+# ---- fixed values: published cluster -> intent label file (k = 8) -----------
+CLUSTER_LABEL_MAP = {
+    0: "low-intent", 1: "high-intent", 2: "high-intent", 3: "low-intent",
+    4: "high-intent", 5: "low-intent", 6: "low-intent", 7: "low-intent",
+}
+# -----------------------------------------------------------------------------
+
+
+def cluster_label_values_sql() -> str:
+    rows = ", ".join(f"({k}, '{v}')" for k, v in CLUSTER_LABEL_MAP.items())
+    return f"(VALUES {rows}) AS cl(cluster_id, intent_label)"
