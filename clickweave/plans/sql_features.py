@@ -136,9 +136,9 @@ def sequential_aggregates(round_unstable: bool = True) -> str:
 
 
 def session_features_body(n: int | None = 5, mode: str = "first_n", source: str = "clicks",
-                          columns: list[str] | None = None) -> str:
+                          columns: list[str] | None = None, round_unstable: bool = True) -> str:
     """Body (after the shared CTEs) computing G-12 (first_n) or G-13 (full)."""
-    aggs = base_aggregates() + (sequential_aggregates() if mode == "first_n" else "")
+    aggs = base_aggregates(round_unstable) + (sequential_aggregates(round_unstable) if mode == "first_n" else "")
     select = f"""
 SELECT session_id,{aggs}
 FROM fx CROSS JOIN tot
@@ -147,3 +147,14 @@ GROUP BY session_id"""
     if columns is None:
         return body + select
     return body + ",\nfeat AS (" + select + "\n)\nSELECT session_id, " + ", ".join(columns) + " FROM feat"
+
+
+def features_cte(name: str = "feat", n: int | None = None, mode: str = "full_session") -> str:
+    """``, <name> AS (...)`` holding unrounded session features (sel/enr/fx
+    CTE names are suffixed so two feature CTEs can coexist)."""
+    body = session_features_body(n, mode, round_unstable=False)
+    sfx = "_" + name
+    for cte in ("sel", "enr0", "enr", "fm", "fc", "fo", "tot", "fx"):
+        body = __import__("re").sub(rf"\b{cte}\b", cte + sfx, body)
+    head, select = body.split("\nSELECT session_id,", 1)
+    return head + f",\n{name} AS (\nSELECT session_id," + select + "\n)"
