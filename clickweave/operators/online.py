@@ -138,3 +138,64 @@ def click_conflicts(clicks: DataFrame, keys: Sequence[str] = ("session_id", "ord
 def predictions_from_scores(scored: DataFrame) -> DataFrame:
     return scored.select("session_id", decode(F.col("prediction"), PREDICTION_LABELS).alias("prediction_label"),
                          F.col("probability").alias("prediction_probability"))
+
+
+# P-05 (+ E-08 on its output)
+def n_click_sweep(clicks: DataFrame, labels: DataFrame, start_n: int = 2, end_n: int = 10, k: int = 5,
+                  hidden: int = 8, max_iter: int = 1, seed: int = 42) -> DataFrame:
+    """Sequence-model CV for every N in [start_n, end_n]: mean and population
+    std of each metric over folds, one row per N."""
+    from clickweave.operators import metrics
+
+    if start_n <= 0 or end_n <= 0:
+        raise ValueError("start_n and end_n must be greater than 0")
+    if start_n > end_n:
+        raise ValueError("start_n must be less than or equal to end_n")
+    rows = []
+    names = metrics.METRIC_NAMES + ["roc_auc"]
+    for n in range(start_n, end_n + 1):
+        per = sequence_cv(clicks, labels, n, k, seed, hidden, max_iter).collect()
+        row = [n]
+        for c in names:
+            vals = [r[c] for r in per if r[c] is not None]
+            m = sum(vals) / len(vals) if vals else None
+            sd = (sum((v - m) ** 2 for v in vals) / len(vals)) ** 0.5 if vals else None
+            row += [m, sd]
+        rows.append(tuple(row))
+    schema = ", ".join(["n_clicks INT"] + [f"cv_mean_{c} DOUBLE, cv_std_{c} DOUBLE" for c in names])
+    return clicks.sparkSession.createDataFrame(rows, schema)
+
+
+# P-07
+def score_sessions(clicks: DataFrame, model, expected: Sequence[str], freqs: DataFrame | None = None,
+                   n: int = 5) -> DataFrame:
+    """Batch scoring of every session: first-N features (stored frequencies
+    when given) -> aligned to the model's inputs -> model -> label text and
+    probability rounded to 4 digits."""
+    from clickweave.operators.clean import align_to_model_features, round_probability
+    from clickweave.operators.features import build_session_features
+    from clickweave.operators.training import probability_of_one
+
+    feats = build_session_features(clicks, n, "first_n", freqs=freqs)
+    aligned = align_to_model_features(feats, list(expected)).withColumn("weight", F.lit(1.0))
+    pred = probability_of_one(model.transform(aligned.withColumn("label", F.lit(0))))
+    out = pred.select("session_id", "probability", F.col("prediction").cast("int").alias("prediction"))
+    return round_probability(out).select("session_id", "label", "probability")
+
+
+# P-08
+def validate_single_session(clicks: DataFrame) -> DataFrame:
+    """Batch form: one row per offending input problem (empty input, missing
+    id / order column, more than one session id)."""
+    spark = clicks.sparkSession
+    problems = []
+    if clicks.limit(1).count() == 0:
+        problems.append("clicks DataFrame is empty")
+    for c in ("session_id", "order"):
+        if c not in clicks.columns:
+            problems.append(f"missing required column `{c}`")
+    if "session_id" in clicks.columns:
+        n = clicks.agg(F.count_distinct("session_id")).first()[0]
+        if n != 1:
+            problems.append(f"expected exactly one session_id, found {n}")
+    return spark.createDataFrame([(p,) for p in problems], "problem STRING")

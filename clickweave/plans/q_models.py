@@ -368,3 +368,12 @@ def q_validation_curve(spark, sf):
     _, table = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
                                   {"maxIter": [50, 200, 1000]}, train, k=5)
     return table
+
+
+@register("model_knn", "L-07")
+def q_model_knn(spark, sf):
+    from clickweave.operators.knn import knn_classify
+
+    train, test, cols = _split_train_test(spark, sf)
+    return knn_classify(train.select("session_id", "label", *cols), test.select("session_id", "label", *cols),
+                        cols, k=15, weights="distance", scale=True)

@@ -6,6 +6,8 @@ Written independently of the Spark code from the operator definitions;
 
 from __future__ import annotations
 
+import re
+
 WS = 'PARTITION BY session_id ORDER BY "order"'
 RUN = f'({WS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
 
@@ -155,6 +157,6 @@ def features_cte(name: str = "feat", n: int | None = None, mode: str = "full_ses
     body = session_features_body(n, mode, round_unstable=False)
     sfx = "_" + name
     for cte in ("sel", "enr0", "enr", "fm", "fc", "fo", "tot", "fx"):
-        body = __import__("re").sub(rf"\b{cte}\b", cte + sfx, body)
+        body = re.sub(rf"\b{cte}\b", cte + sfx, body)
     head, select = body.split("\nSELECT session_id,", 1)
     return head + f",\n{name} AS (\nSELECT session_id," + select + "\n)"
