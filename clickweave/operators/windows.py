@@ -60,22 +60,55 @@ def first_occurrence(col: str, tiebreak: Sequence[str] = (), session: str = "ses
     return (F.row_number().over(w) == 1).cast("int")
 
 
+def first_in_window(col: str, w: WindowSpec) -> Column:
+    """First-occurrence flag from the clicks before this one in the session
+    window (null is one value). Quadratic in the session length, so only used
+    where sessions are bounded (after the first-N cut); it needs no extra
+    sort, unlike a window partitioned by (session, value)."""
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.collect_list(col).over(before)
+    nulls_before = F.coalesce(F.sum(F.col(col).isNull().cast("int")).over(before), F.lit(0))
+    first = F.when(F.col(col).isNull(), nulls_before == 0).otherwise(~F.array_contains(seen, F.col(col)))
+    return first.cast("int")
+
+
+def same_value_count(col: str, w: WindowSpec) -> Column:
+    """Clicks of the session sharing this click's value (bounded sessions)."""
+    values = F.collect_list(col).over(_whole(w))
+    return F.size(F.filter(values, lambda x: x == F.col(col)))
+
+
 # F-01 .. F-08 (F-12 is all of them together)
-def enrich_clicks(clicks: DataFrame, tiebreak: Sequence[str] = (), keep_internal: bool = False) -> DataFrame:
+def enrich_clicks(clicks: DataFrame, tiebreak: Sequence[str] = (), keep_internal: bool = False,
+                  bounded: int | None = None) -> DataFrame:
     """F-12. ``keep_internal`` keeps the first-occurrence flags (``_new_*``)
     and the per-(session, category) click count ``_cat_cnt`` for the session
-    aggregation, so it does not sort for them a second time."""
+    aggregation, so it does not sort for them a second time.
+
+    ``bounded``: the caller guarantees at most this many clicks per session
+    (first-N output). All flags are then computed inside the one
+    (session, order) window, whose sort the first-N cut already produced."""
     w = click_window(tiebreak)
     pos = F.row_number().over(w)
-    wcat = Window.partitionBy("session_id", "main_category").orderBy("order", *tiebreak)
-    df = clicks.select(
-        "*",
-        (F.row_number().over(wcat) == 1).cast("int").alias("_new_category"),
-        F.count(F.lit(1)).over(_whole(wcat)).alias("_cat_cnt"),
-        first_occurrence("page_2_model", tiebreak).alias("_new_model"),
-        first_occurrence("colour", tiebreak).alias("_new_colour"),
-        first_occurrence("page", tiebreak).alias("_new_page"),
-    )
+    if bounded:
+        df = clicks.select(
+            "*",
+            first_in_window("main_category", w).alias("_new_category"),
+            same_value_count("main_category", w).alias("_cat_cnt"),
+            first_in_window("page_2_model", w).alias("_new_model"),
+            first_in_window("colour", w).alias("_new_colour"),
+            first_in_window("page", w).alias("_new_page"),
+        )
+    else:
+        wcat = Window.partitionBy("session_id", "main_category").orderBy("order", *tiebreak)
+        df = clicks.select(
+            "*",
+            (F.row_number().over(wcat) == 1).cast("int").alias("_new_category"),
+            F.count(F.lit(1)).over(_whole(wcat)).alias("_cat_cnt"),
+            first_occurrence("page_2_model", tiebreak).alias("_new_model"),
+            first_occurrence("colour", tiebreak).alias("_new_colour"),
+            first_occurrence("page", tiebreak).alias("_new_page"),
+        )
     run = _running(w)
     df = df.select(
         "*",
@@ -131,12 +164,13 @@ def click_level_features(clicks: DataFrame, n_clicks: int = 5, tiebreak: Sequenc
     selected = first_n_clicks(prepare_clickstream(clicks), n_clicks, tiebreak)
     w = click_window(tiebreak)
     run = _running(w)
+    # at most n_clicks clicks per session: flags from the one session window
     df = selected.select(
         "*",
-        first_occurrence("page", tiebreak).alias("_new_page"),
-        first_occurrence("page_2_model", tiebreak).alias("_new_model"),
-        first_occurrence("main_category", tiebreak).alias("_new_category"),
-        first_occurrence("colour", tiebreak).alias("_new_colour"),
+        first_in_window("page", w).alias("_new_page"),
+        first_in_window("page_2_model", w).alias("_new_model"),
+        first_in_window("main_category", w).alias("_new_category"),
+        first_in_window("colour", w).alias("_new_colour"),
     )
     pos = F.row_number().over(w)
     df = df.select(

@@ -41,7 +41,7 @@ def q_sessions_distinct(spark, sf):
 
 
 def _enriched(spark, sf):
-    return windows.enrich_clicks(windows.first_n_clicks(prepared(spark, sf), 5))
+    return windows.enrich_clicks(windows.first_n_clicks(prepared(spark, sf), 5), bounded=5)
 
 
 ENRICH_BODY = S.selected_cte(5) + S.ENRICH_CTE
