@@ -33,8 +33,26 @@ def _stack(wide: DataFrame, names: list[str], cols: list[list[str]], out: list[s
 # I-01
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair (a before b in ``cols``), long form
-    (feature_a, feature_b, pos_a, pos_b, corr); undefined r (constant column) is null."""
+    (feature_a, feature_b, pos_a, pos_b, corr); undefined r (constant column)
+    is null.
+
+    Null-free columns: one distributed Gram-matrix pass
+    (``pyspark.ml.stat.Correlation``), p x p values to the driver. With
+    nulls: pairwise-complete ``corr`` aggregates, like the reference."""
+    cols = list(cols)
+    nulls = df.agg(*[F.count_if(_q(c).isNull() | F.isnan(_q(c).cast("double"))).alias(f"n{i}")
+                     for i, c in enumerate(cols)]).first()
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not any(nulls):
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+
+        vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(
+            df.select(*[_q(c).cast("double").alias(c) for c in cols]))
+        m = Correlation.corr(vec, "_v").first()[0].toArray()
+        rows = [(cols[i], cols[j], i, j, None if m[i, j] != m[i, j] else float(m[i, j])) for i, j in pairs]
+        return df.sparkSession.createDataFrame(
+            rows, "feature_a STRING, feature_b STRING, pos_a INT, pos_b INT, corr DOUBLE")
     aggs = [F.corr(_q(cols[i]).cast("double"), _q(cols[j]).cast("double")).alias(f"c_{i}_{j}") for i, j in pairs]
     wide = df.agg(*aggs)
     body = ", ".join(f"'{cols[i]}', '{cols[j]}', {i}, {j}, `c_{i}_{j}`" for i, j in pairs)

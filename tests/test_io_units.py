@@ -75,3 +75,16 @@ def test_describe_clusters_defaults(spark):
     out = {r.cluster_id: r for r in describe_clusters(summary, interp).collect()}
     assert (out[1].cluster_label, out[1].cluster_size_pct, out[1].business_intent) == \
         ("Cluster 1", "20.0%", "Description unavailable.")
+
+
+def test_correlation_paths_agree_with_pandas(spark):
+    import pandas as pd
+
+    rows = [(1, 1.0, 2.0, 5.0), (2, 2.0, 4.1, None), (3, 3.0, 5.9, 1.0), (4, 4.0, 8.2, 2.0), (5, 5.0, 9.7, 0.5)]
+    df = spark.createDataFrame(rows, "session_id BIGINT, a DOUBLE, b DOUBLE, c DOUBLE")
+    pdf = pd.DataFrame(rows, columns=["session_id", "a", "b", "c"]).drop(columns="session_id")
+    want = pdf.corr()
+    for cols in (["a", "b"], ["a", "b", "c"]):  # null-free (Gram pass) and with nulls (pairwise)
+        got = {(r.feature_a, r.feature_b): r.corr for r in stats.correlation_matrix(df, cols).collect()}
+        for (x, y), v in got.items():
+            assert abs(v - want.loc[x, y]) < 1e-9
