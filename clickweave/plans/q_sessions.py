@@ -15,8 +15,8 @@ from clickweave.sources.tables import event_clicks, raw_clicks
 UNSTABLE = ("category_entropy", "mean_price_deviation")
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.prepare_clickstream(raw_clicks(spark, sf_dir))
+def prepared(spark: SparkSession, sf_dir: str, first_n: int | None = None) -> DataFrame:
+    return clean.prepare_clickstream(raw_clicks(spark, sf_dir, first_n))
 
 
 def round_unstable(df: DataFrame, cols=UNSTABLE, digits: int = 6) -> DataFrame:
@@ -28,7 +28,7 @@ def round_unstable(df: DataFrame, cols=UNSTABLE, digits: int = 6) -> DataFrame:
 
 @register("session_features_first_n", "G-12", clicks_sql(S.session_features_body(5, "first_n")))
 def q_session_features_first_n(spark, sf_dir):
-    return round_unstable(features.build_session_features(raw_clicks(spark, sf_dir), 5, "first_n"))
+    return round_unstable(features.build_session_features(raw_clicks(spark, sf_dir, first_n=5), 5, "first_n"))
 
 
 @register("session_features_full", "G-13", clicks_sql(S.session_features_body(None, "full_session")))
@@ -39,7 +39,7 @@ def q_session_features_full(spark, sf_dir):
 def _part(key, sid, fn, cols):
     @register(key, sid, clicks_sql(S.session_features_body(5, "first_n", columns=cols)))
     def q(spark, sf_dir):
-        return round_unstable(fn(features.build_session_features(raw_clicks(spark, sf_dir), 5, "first_n")))
+        return round_unstable(fn(features.build_session_features(raw_clicks(spark, sf_dir, first_n=5), 5, "first_n")))
     return q
 
 

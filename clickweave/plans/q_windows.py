@@ -18,7 +18,7 @@ W = "WITH " + CLICKS_CTE
 
 @register("first_n_clicks", "E-01", W + S.selected_cte(5) + "\nSELECT * FROM sel")
 def q_first_n_clicks(spark, sf):
-    return windows.first_n_clicks(prepared(spark, sf), 5)
+    return windows.first_n_clicks(prepared(spark, sf, 5), 5)
 
 
 @register("last_click", "E-02", W + """
@@ -41,7 +41,7 @@ def q_sessions_distinct(spark, sf):
 
 
 def _enriched(spark, sf):
-    return windows.enrich_clicks(windows.first_n_clicks(prepared(spark, sf), 5), bounded=5)
+    return windows.enrich_clicks(windows.first_n_clicks(prepared(spark, sf, 5), 5), bounded=5)
 
 
 ENRICH_BODY = S.selected_cte(5) + S.ENRICH_CTE
@@ -109,7 +109,7 @@ cl AS (
 def _cl_part(key, sid, cols):
     @register(key, sid, W + CLICK_LEVEL_BODY + "\nSELECT session_id, \"order\", " + ", ".join(cols) + " FROM cl")
     def q(spark, sf):
-        return windows.click_level_features(raw_clicks(spark, sf), 5).select("session_id", "order", *cols)
+        return windows.click_level_features(raw_clicks(spark, sf, first_n=5), 5).select("session_id", "order", *cols)
     return q
 
 
@@ -120,7 +120,7 @@ _cl_part("click_frequencies", "F-11", ["category_frequency", "colour_frequency",
 
 @register("click_level_features", "F-13", W + CLICK_LEVEL_BODY + "\nSELECT * FROM cl")
 def q_click_level_features(spark, sf):
-    return windows.click_level_features(raw_clicks(spark, sf), 5)
+    return windows.click_level_features(raw_clicks(spark, sf, first_n=5), 5)
 
 
 FREQ_SQL = S.selected_cte(5) + """,
@@ -135,7 +135,7 @@ ft AS (SELECT dim, value, cnt, CAST(sum(cnt) OVER (PARTITION BY dim) AS BIGINT)
 
 @register("frequency_table", "A-16", W + FREQ_SQL + "\nSELECT dim, value, cnt, total, cnt / total AS freq FROM ft")
 def q_frequency_table(spark, sf):
-    return frequency_table(prepared(spark, sf), 5)
+    return frequency_table(prepared(spark, sf, 5), 5)
 
 
 @register("map_frequency", "D-08", W + FREQ_SQL + """
