@@ -2,9 +2,10 @@
 ``(session_id, label, prediction, probability)``.
 
 Counting metrics are one aggregation. Rank metrics (ROC AUC, ROC and PR
-curves) aggregate to one row per distinct score first; the running sums then
-run over that table, whose size is bounded by the number of distinct scores
-(at most 10,001 for probabilities rounded to 4 digits, as scoring emits).
+curves) aggregate to one row per distinct score first; running sums over
+that table are distributed prefix sums (range partitions by score, a running
+sum inside each, plus the totals of all earlier partitions), so no window
+ever holds the whole table in one task.
 """
 
 from __future__ import annotations
@@ -68,22 +69,45 @@ def score_counts(df: DataFrame, prob: str = "probability") -> DataFrame:
                                                      F.count_if(F.col("label") == 0).alias("neg"))
 
 
+PREFIX_PARTITIONS = 64
+
+
+def prefix_sums(df: DataFrame, order_col: str, cols: list[str], descending: bool = False,
+                n_parts: int = PREFIX_PARTITIONS) -> DataFrame:
+    """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order_col`` order.
+
+    The table is range-partitioned on the order column; each range computes
+    its own running sum (one task per range) and adds the sums of all earlier
+    ranges, read from a table with one row per range (bounded by
+    ``n_parts``, hence broadcast)."""
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    parts = df.repartitionByRange(n_parts, key).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parts.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
+    totals = parts.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                      for c in cols])
+    out = local.join(F.broadcast(offsets), "_pid")
+    return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols])
+
+
 # M-03
 def roc_auc(df: DataFrame, prob: str = "probability") -> DataFrame:
     """Mann-Whitney AUC, ties counted one half."""
-    sc = score_counts(df, prob)
-    w = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("neg").over(w), F.lit(0))
+    sc = prefix_sums(score_counts(df, prob), "score", ["neg"])
+    below = F.col("cum_neg") - F.col("neg")
     per = sc.select("pos", "neg", (F.col("pos") * (below + F.col("neg") * 0.5)).alias("_u"))
     return per.agg((F.sum("_u") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 
 def _curve_base(df: DataFrame, prob: str) -> DataFrame:
     sc = score_counts(df, prob)
-    w = Window.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy()
-    return sc.select("score", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-                     F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
+    total_pos = sc.agg(F.sum("pos")).scalar()
+    total_neg = sc.agg(F.sum("neg")).scalar()
+    cum = prefix_sums(sc, "score", ["pos", "neg"], descending=True)
+    return cum.select("score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                      total_pos.alias("P"), total_neg.alias("N"))
 
 
 # M-04
@@ -95,20 +119,20 @@ def roc_curve(df: DataFrame, prob: str = "probability") -> DataFrame:
 
 # M-05
 def pr_curve(df: DataFrame, prob: str = "probability") -> DataFrame:
-    """(threshold, precision, recall) per distinct score; plus the end point
-    (precision 1, recall 0) as a curve usually has it."""
+    """(threshold, precision, recall, pos, neg, tp, fp, P) per distinct score."""
     b = _curve_base(df, prob)
     return b.select(F.col("score").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                    (F.col("tp") / F.col("P")).alias("recall"))
+                    (F.col("tp") / F.col("P")).alias("recall"), "pos", "neg", "tp", "fp", "P")
 
 
 def pr_auc(curve: DataFrame, baseline_from: DataFrame | None = None) -> DataFrame:
-    """Trapezoid area under (recall, precision), starting at (0, 1)."""
-    w = Window.orderBy("recall", F.col("precision").desc())
-    pts = curve.select("recall", "precision")
-    prev_r = F.coalesce(F.lag("recall").over(w), F.lit(0.0))
-    prev_p = F.coalesce(F.lag("precision").over(w), F.lit(1.0))
-    seg = pts.select(((F.col("recall") - prev_r) * (F.col("precision") + prev_p) / 2).alias("a"))
+    """Trapezoid area under (recall, precision) from (0, 1), in threshold
+    order. Each segment needs only its own row: the previous point is the
+    same running counts without this score's rows."""
+    tp0 = F.col("tp") - F.col("pos")
+    n0 = tp0 + F.col("fp") - F.col("neg")
+    prev_p = F.when(n0 == 0, F.lit(1.0)).otherwise(tp0 / n0)
+    seg = curve.select((F.col("pos") / F.col("P") * (F.col("precision") + prev_p) / 2).alias("a"))
     out = seg.agg(F.sum("a").alias("pr_auc"))
     if baseline_from is not None:
         out = out.select("pr_auc", baseline_from.agg(F.avg(F.col("label").cast("double"))).scalar().alias("baseline"))

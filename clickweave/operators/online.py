@@ -118,8 +118,9 @@ def click_log(clicks: DataFrame, session_id: int) -> DataFrame:
 def click_events(clicks: DataFrame, predictions: DataFrame, n: int = 5) -> DataFrame:
     """Per click: running count, triggered (exactly at click n), prediction in
     force (null before the n-th click) and show_ad (prediction is high-intent)."""
-    w = click_window()
-    numbered = clicks.select("session_id", "order", F.row_number().over(w).alias("click_count"))
+    from clickweave.operators.windows import click_rank
+
+    numbered = click_rank(clicks.select("session_id", "order"))
     p = predictions.select("session_id", "prediction_label", "prediction_probability")
     j = numbered.join(p, "session_id", "left")
     active = F.col("click_count") >= n

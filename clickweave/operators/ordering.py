@@ -32,9 +32,12 @@ def first_last_model(clicks: DataFrame, model: str = "page_2_model", key: str =
 
 
 def _keep_one(df: DataFrame, key: str, order_col: str, ascending: bool) -> DataFrame:
-    o = F.col(order_col).asc() if ascending else F.col(order_col).desc()
-    w = Window.partitionBy(key).orderBy(o)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """One row per key by an aggregate (``min_by``/``max_by`` of the whole
+    row), so duplicates of a hot key are reduced before the shuffle."""
+    cols = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    pick = (F.min_by if ascending else F.max_by)(row, F.col(order_col)).alias("_r")
+    return df.groupBy(key).agg(pick).select(key, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
 
 
 # E-04

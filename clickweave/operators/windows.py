@@ -197,3 +197,25 @@ def click_level_features(clicks: DataFrame, n_clicks: int = 5, tiebreak: Sequenc
                                      ("page_2_model", "model_frequency")])
     base = [c for c in selected.columns]
     return df.select(*base, *CLICK_LEVEL_COLUMNS)
+
+
+ORDER_BUCKET = 1024
+
+
+def click_rank(clicks: DataFrame, tiebreak: Sequence[str] = (), bucket: int = ORDER_BUCKET,
+               out: str = "click_count") -> DataFrame:
+    """1-based position of every click in its session without a window over
+    a whole session: row number inside (session, order // bucket) plus the
+    number of clicks in the session's earlier buckets (a window over the
+    per-bucket counts, one row per bucket). A hot session is spread over
+    its buckets."""
+    b = F.floor(F.col("order") / bucket).cast("bigint")
+    df = clicks.withColumn("_bucket", b)
+    w = Window.partitionBy("session_id", "_bucket").orderBy("order", *tiebreak)
+    local = df.withColumn("_local", F.row_number().over(w))
+    counts = df.groupBy("session_id", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("session_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("session_id", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (local.join(offsets, ["session_id", "_bucket"])
+            .withColumn(out, (F.col("_local") + F.col("_off")).cast("int"))
+            .drop("_bucket", "_local", "_off"))
