@@ -202,20 +202,27 @@ def click_level_features(clicks: DataFrame, n_clicks: int = 5, tiebreak: Sequenc
 ORDER_BUCKET = 1024
 
 
-def click_rank(clicks: DataFrame, tiebreak: Sequence[str] = (), bucket: int = ORDER_BUCKET,
-               out: str = "click_count") -> DataFrame:
-    """1-based position of every click in its session without a window over
-    a whole session: row number inside (session, order // bucket) plus the
-    number of clicks in the session's earlier buckets (a window over the
-    per-bucket counts, one row per bucket). A hot session is spread over
-    its buckets."""
-    b = F.floor(F.col("order") / bucket).cast("bigint")
-    df = clicks.withColumn("_bucket", b)
-    w = Window.partitionBy("session_id", "_bucket").orderBy("order", *tiebreak)
-    local = df.withColumn("_local", F.row_number().over(w))
-    counts = df.groupBy("session_id", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("session_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("session_id", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, ["session_id", "_bucket"])
+def bucketed_rank(df: DataFrame, session: str, order_cols: Sequence[str], bucket: Column,
+                  out: str = "click_count") -> DataFrame:
+    """Exact 1-based rank of every row in its session by ``order_cols``
+    without a window over a whole session: row number inside (session,
+    bucket) plus the row count of the session's earlier buckets (a window over
+    per-bucket counts, one row per bucket). ``bucket`` must be monotone in
+    the order (e.g. ``order // 1024`` or the day of a timestamp), so a hot
+    session is spread over its buckets."""
+    d = df.withColumn("_bucket", bucket)
+    w = Window.partitionBy(session, "_bucket").orderBy(*order_cols)
+    local = d.withColumn("_local", F.row_number().over(w))
+    counts = d.groupBy(session, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(session).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(session, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (local.join(offsets, [session, "_bucket"])
             .withColumn(out, (F.col("_local") + F.col("_off")).cast("int"))
             .drop("_bucket", "_local", "_off"))
+
+
+def click_rank(clicks: DataFrame, tiebreak: Sequence[str] = (), bucket: int = ORDER_BUCKET,
+               out: str = "click_count") -> DataFrame:
+    """Position of every click in its session (see ``bucketed_rank``)."""
+    return bucketed_rank(clicks, "session_id", ["order", *tiebreak],
+                         F.floor(F.col("order") / bucket).cast("bigint"), out)

@@ -73,10 +73,16 @@ def raw_clicks(spark: SparkSession, sf_dir: str, first_n: int | None = None) ->
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
 
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    numbered = li.withColumn("order", F.row_number().over(w))
+    line_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     if first_n:
-        numbered = numbered.where(F.col("order") <= first_n)
+        # row_number() <= n is planned as a partial top-n before the shuffle
+        w = Window.partitionBy("l_orderkey").orderBy(*line_order)
+        numbered = li.withColumn("order", F.row_number().over(w)).where(F.col("order") <= first_n)
+    else:
+        from clickweave.operators.windows import bucketed_rank
+
+        numbered = bucketed_rank(li, "l_orderkey", line_order,
+                                 F.floor(F.col("l_linenumber") / 1024).cast("bigint"), "order")
     price = F.floor(F.col("l_extendedprice") / 1000).cast("int")
 
     # Mean price per category over all line items: summed per part first
@@ -173,10 +179,13 @@ def event_clicks(spark: SparkSession, sf_dir: str, high_price_cut: float = 56.0)
            .when(F.col("event_type") == "purchase", 3).otherwise(4))
     letter = F.when(cat == 1, "A").when(cat == 2, "B").when(cat == 3, "C").otherwise("P")
     price = F.floor(F.col("value")).cast("int")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    from clickweave.operators.windows import bucketed_rank
+
+    # click number by (ts, event_id), bucketed by day: no window over a whole user
+    ev = bucketed_rank(ev, "user_id", ["ts", "event_id"], F.to_date("ts"), "order")
     return ev.select(
         F.col("user_id").alias("session_id"),
-        F.row_number().over(w).alias("order"),
+        F.col("order"),
         F.col("ts"), F.col("event_id"),
         F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"),
         (F.col("user_id") % 47 + 1).cast("int").alias("country"),
