@@ -16,7 +16,8 @@ from clickweave.plans import q_clusters as QC
 from clickweave.plans import q_models as QM
 from clickweave.plans.registry import register
 from clickweave.session import checkpoint_dir
-from clickweave.sources.tables import event_clicks, manual_labels, raw_clicks
+from clickweave.operators.clean import CLICK_RULES
+from clickweave.sources.tables import EVENT_CLICKS_CTE, event_clicks, manual_labels, raw_clicks
 
 
 @register("pca_project", "I-07")
@@ -127,3 +128,34 @@ def q_stream_score(spark, sf):
     q = start(stream, score, sink, ckpt, n=5, trigger_once=True)
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def _landed_events(spark, sf):
+    """Event clicks landed as files in the shared folder (the stream source)."""
+    base = os.path.join(checkpoint_dir(spark), "clickweave-stream", uuid.uuid4().hex)
+    ev = event_clicks(spark, sf)
+    ev.repartition(4, "session_id").write.mode("overwrite").parquet(os.path.join(base, "src"))
+    return base, ev.schema
+
+
+@register("stream_clicks", "A-10", "WITH " + EVENT_CLICKS_CTE + """
+, v AS (SELECT session_id, "order", concat_ws(',', """ + ", ".join(
+    f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in CLICK_RULES.items()) + """)
+  AS failed_rules FROM event_clicks)
+SELECT session_id, "order", failed_rules, CAST(failed_rules = '' AS INTEGER) AS is_valid FROM v""")
+def q_stream_clicks(spark, sf):
+    from clickweave.streaming.nth_click import validated_click_stream
+
+    base, schema = _landed_events(spark, sf)
+    stream = spark.readStream.schema(schema).parquet(os.path.join(base, "src"))
+    q = validated_click_stream(stream, os.path.join(base, "valid"), os.path.join(base, "quarantine"),
+                               os.path.join(base, "ckpt"))
+    q.awaitTermination()
+    parts = [os.path.join(base, d) for d in ("valid", "quarantine") if os.path.isdir(os.path.join(base, d))]
+    return spark.read.parquet(*parts).select("session_id", "order", "failed_rules", "is_valid")
+
+
+@register("stream_predictions", "A-11")
+def q_stream_predictions(spark, sf):
+    """The prediction sink: one row per session that reached its 5th click."""
+    return q_stream_score(spark, sf).select("session_id", "label", "probability")

@@ -36,7 +36,9 @@ def _fire_once(n: int, columns: list[str]):
         new = new.sort_values([c for c in ("order", "ts") if c in new.columns], kind="stable")
         if not fired:
             room = max(n - len(kept), 0)
-            kept = pd.concat([kept, new.head(room)], ignore_index=True) if room else kept
+            if room:
+                head = new.head(room)
+                kept = head.reset_index(drop=True) if kept.empty else pd.concat([kept, head], ignore_index=True)
         count += len(new)
         out = pd.DataFrame(columns=columns + ["click_count"])
         if not fired and count >= n and len(kept) >= n:
@@ -75,3 +77,17 @@ def start(clicks: DataFrame, score_fn, sink_path: str, checkpoint: str, n: int =
         score_and_merge(score_fn, sink_path))
     writer = writer.trigger(availableNow=True) if trigger_once else writer
     return writer.start()
+
+
+def validated_click_stream(clicks: DataFrame, sink_path: str, quarantine_path: str, checkpoint: str):
+    """A-10: validate every arriving click (B-07 rules); valid rows and the
+    quarantine (with the failed rules) go to separate sinks per micro-batch."""
+    from clickweave.operators.clean import validate_clicks
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        checked = validate_clicks(batch).withColumn("batch_id", F.lit(batch_id))
+        checked.where("is_valid = 1").write.mode("append").parquet(sink_path)
+        checked.where("is_valid = 0").write.mode("append").parquet(quarantine_path)
+
+    return (clicks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+            .trigger(availableNow=True).start())
