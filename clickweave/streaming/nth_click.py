@@ -53,6 +53,9 @@ def _fire_once(n: int, columns: list[str]):
 def nth_click_stream(clicks: DataFrame, n: int = 5) -> DataFrame:
     """P-09: streaming DataFrame of the first ``n`` clicks of every session,
     emitted once when the session reaches its ``n``-th click."""
+    from clickweave.session import ship_package
+
+    ship_package(clicks.sparkSession)
     columns = clicks.columns
     out_schema = StructType(list(clicks.schema.fields) + [StructField("click_count", IntegerType())])
     return clicks.groupBy("session_id").applyInPandasWithState(
