@@ -113,11 +113,16 @@ def q_stream_score(spark, sf):
         F.col("page_1_main_category")))
     ev.repartition(4, "session_id").write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(ev.schema).parquet(src)
+    # training-time frequencies (first 5 clicks of all sessions), computed in
+    # batch once and used to correct the per-session frequency features (P-06)
+    from clickweave.operators.frequencies import materialize
+
+    stored = materialize(frequency_table(prepare_clickstream(spark.read.parquet(src)), 5))
 
     def score(batch):
         from clickweave.operators.features import build_session_features
 
-        f = build_session_features(batch.drop("click_count"), 5, "first_n")
+        f = build_session_features(batch.drop("click_count"), 5, "first_n", freqs=stored)
         logit = F.lit(QM.INTERCEPT)
         for c, w in QM.WEIGHTS.items():
             logit = logit + F.lit(w) * F.col(c)

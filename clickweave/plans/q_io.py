@@ -73,7 +73,7 @@ ev AS (SELECT session_id, CAST(session_id % 8 AS INTEGER) AS cluster_id,
 rates AS (SELECT cluster_id, avg(purchase_flag) AS purchase_rate FROM ev GROUP BY 1)
 SELECT cluster_id, CASE WHEN purchase_rate >= (SELECT median(purchase_rate) FROM rates) THEN 'high-intent'
                         ELSE 'low-intent' END AS intent_label FROM rates""")
-def q_write_cluster_labels_real(spark, sf):
+def q_write_cluster_labels(spark, sf):
     from clickweave.plans.q_clusters import _event_rates
 
     rates = clusters.purchase_rate(_event_rates(spark, sf))
