@@ -39,6 +39,18 @@ def check_training_set(df: DataFrame) -> None:
         raise ValueError("Training set needs both classes.")
 
 
+def right_size(df: DataFrame, rows_per_partition: int = 50000) -> DataFrame:
+    """Coalesce a (cached, iterated-over) training table to about
+    ``rows_per_partition`` rows per partition: iterative learners run one
+    job per tree level or iteration, so tiny partitions cost more in task
+    overhead than they give in parallelism; large tables keep their width."""
+    import math
+
+    n = df.count()
+    parts = max(1, min(df.rdd.getNumPartitions(), math.ceil(n / rows_per_partition)))
+    return df.coalesce(parts)
+
+
 # L-02
 def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
     return df.withColumn("is_test", (unit_hash("session_id", seed) < test_fraction).cast("int"))

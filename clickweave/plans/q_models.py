@@ -248,7 +248,7 @@ def _split_train_test(spark, sf):
     lf = labelled_features(spark, sf)
     df, cols = training.training_set(lf.select("session_id", *MODEL_FEATURES), lf.select("session_id", "label"))
     # iterative fits read the training set many times: keep it cached
-    df = training.class_weights(training.stratified_split(df)).cache()
+    df = training.right_size(training.class_weights(training.stratified_split(df))).cache()
     return df.where("is_test = 0"), df.where("is_test = 1"), cols
 
 
