@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickweave.operators.clean import numeric_feature_columns
 
 
-def unit_hash(key: str = "session_id", seed: int = 42) -> Column:
+def unit_hash(key: str = "session_id", seed: int | str = 42) -> Column:
     """Uniform [0, 1) from md5(id || seed) (first 32 bits)."""
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
@@ -64,7 +64,8 @@ def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, check: bool = Fa
         smallest = df.groupBy("label").count().agg(F.min("count")).first()[0]
         if smallest is None or smallest < k:
             raise ValueError(f"The smallest class has fewer than k={k} members.")
-    return df.withColumn("fold", F.floor(unit_hash("session_id", seed) * k).cast("int"))
+    # own salt: independent of the train/test split drawn with the same seed
+    return df.withColumn("fold", F.floor(unit_hash("session_id", f"{seed}:folds") * k).cast("int"))
 
 
 # L-04
@@ -218,7 +219,7 @@ def tune_grid(pipeline_builder, grid: dict[str, list], train: DataFrame, k: int
     for name, values in grid.items():
         builder = builder.addGrid(est.getParam(name), values)
     folded = stratified_folds(train, k, seed)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=builder.build(), foldCol="fold",
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=builder.build(), foldCol="fold", numFolds=k,
                         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
                         parallelism=parallelism, seed=seed)
     model = cv.fit(folded)

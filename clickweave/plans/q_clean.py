@@ -121,13 +121,13 @@ def q_normalize_intent_label_text(spark, sf):
 
 @register("value_profile", "B-15", W + """
 SELECT * FROM (
-  SELECT 'session_id' AS column_name, count(DISTINCT session_id) AS n_distinct, count_if(session_id IS NULL) AS n_null FROM clicks
-  UNION ALL SELECT 'page_2_model', count(DISTINCT page_2_model), count_if(page_2_model IS NULL) FROM clicks
-  UNION ALL SELECT 'main_category', count(DISTINCT main_category), count_if(main_category IS NULL) FROM clicks
-  UNION ALL SELECT 'colour', count(DISTINCT colour), count_if(colour IS NULL) FROM clicks
-  UNION ALL SELECT 'country', count(DISTINCT country), count_if(country IS NULL) FROM clicks
-  UNION ALL SELECT 'page', count(DISTINCT page), count_if(page IS NULL) FROM clicks
-  UNION ALL SELECT 'price', count(DISTINCT price), count_if(price IS NULL) FROM clicks)""")
+  SELECT 'session_id' AS column_name, count(DISTINCT session_id) AS n_distinct, CAST(count_if(session_id IS NULL) AS BIGINT) AS n_null FROM clicks
+  UNION ALL SELECT 'page_2_model', count(DISTINCT page_2_model), CAST(count_if(page_2_model IS NULL) AS BIGINT) FROM clicks
+  UNION ALL SELECT 'main_category', count(DISTINCT main_category), CAST(count_if(main_category IS NULL) AS BIGINT) FROM clicks
+  UNION ALL SELECT 'colour', count(DISTINCT colour), CAST(count_if(colour IS NULL) AS BIGINT) FROM clicks
+  UNION ALL SELECT 'country', count(DISTINCT country), CAST(count_if(country IS NULL) AS BIGINT) FROM clicks
+  UNION ALL SELECT 'page', count(DISTINCT page), CAST(count_if(page IS NULL) AS BIGINT) FROM clicks
+  UNION ALL SELECT 'price', count(DISTINCT price), CAST(count_if(price IS NULL) AS BIGINT) FROM clicks)""")
 def q_value_profile(spark, sf):
     return clean.value_profile(clean.prepare_clickstream(raw_clicks(spark, sf)),
                                ["session_id", "page_2_model", "main_category", "colour", "country", "page", "price"])

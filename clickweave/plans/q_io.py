@@ -120,7 +120,7 @@ def q_rnn_artifact_sink(spark, sf):
 
 @register("selected_features_sink", "A-12", QC.BASE + QC.CV_CTE + """
 , th AS (SELECT quantile_cont(coefficient_of_variation, 0.75) AS t FROM cvx)
-SELECT 'coefficient_of_variation' AS method, 0.75 AS threshold_percentile, feature,
+SELECT 'coefficient_of_variation' AS method, CAST(0.75 AS DOUBLE) AS threshold_percentile, feature,
        round(coefficient_of_variation, 4) AS coefficient_of_variation, round(std_dev, 4) AS std_dev,
        round(mean, 4) AS mean FROM cvx CROSS JOIN th WHERE coefficient_of_variation >= t""")
 def q_selected_features_sink(spark, sf):

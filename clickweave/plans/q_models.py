@@ -146,11 +146,11 @@ def q_calibration_curve(spark, sf):
 @register("class_report", "M-07", BASE + f"""
 SELECT 1 AS class, {div('tp', 'tp + fp')} AS precision, {div('tp', 'tp + fn')} AS recall,
        {div(f"2 * {div('tp', 'tp + fp')} * {div('tp', 'tp + fn')}", f"{div('tp', 'tp + fp')} + {div('tp', 'tp + fn')}")} AS f1,
-       tp + fn AS support FROM cnt
+       CAST(tp + fn AS BIGINT) AS support FROM cnt
 UNION ALL
 SELECT 0, {div('tn', 'tn + fn')}, {div('tn', 'tn + fp')},
        {div(f"2 * {div('tn', 'tn + fn')} * {div('tn', 'tn + fp')}", f"{div('tn', 'tn + fn')} + {div('tn', 'tn + fp')}")},
-       tn + fp FROM cnt""")
+       CAST(tn + fp AS BIGINT) FROM cnt""")
 def q_class_report(spark, sf):
     return metrics.class_report(scored(spark, sf))
 
@@ -177,7 +177,7 @@ def q_train_test_gap(spark, sf):
     return g.withColumn("gap", F.round(F.col("train") - F.col("test"), 9))
 
 
-FOLDS = f"CAST(floor(({_hash_sql()}) * 5) AS INTEGER)"
+FOLDS = f"CAST(floor(({_hash_sql('42:folds')}) * 5) AS INTEGER)"
 
 
 @register("cv_summary", "M-09", BASE + f"""
