@@ -6,18 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickweave.llm.relative_lz import remove_copied
 from clickweave.llm.simhash import simhash_groups
+from clickweave.llm.token_store import token_output
+
+TOKENIZER_FILE = "byte_bpe_50k.json"
+TOKENIZER_IDS = 50_257
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER_FILE))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(_read(spark, sf_dir, "documents"), tokenizer_path(), TOKENIZER_IDS)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_read(spark, sf_dir, "documents"))
 
 
+def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_copied(_read(spark, sf_dir, "documents"), with_text=False).drop("spans", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_store": op5_token_store,
+    "op10_relative_lz": op10_relative_lz,
     "op9_simhash": op9_simhash,
 }
 
