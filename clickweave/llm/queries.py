@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickweave.llm.hyperlang import identify
 from clickweave.llm.relative_lz import remove_copied
 from clickweave.llm.simhash import simhash_groups
 from clickweave.llm.token_store import token_output
@@ -24,6 +25,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path(TOKENIZER_FILE))
 
 
+def op4_hyperlang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_read(spark, sf_dir, "documents"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(_read(spark, sf_dir, "documents"), tokenizer_path(), TOKENIZER_IDS)
 
@@ -37,6 +42,7 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
     "op10_relative_lz": op10_relative_lz,
     "op9_simhash": op9_simhash,
