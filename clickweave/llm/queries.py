@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.llm.hyperlang import identify
+from clickweave.llm.mixing import mix
 from clickweave.llm.relative_lz import remove_copied
 from clickweave.llm.simhash import simhash_groups
 from clickweave.llm.token_store import token_output
@@ -33,6 +34,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(_read(spark, sf_dir, "documents"), tokenizer_path(), TOKENIZER_IDS)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_read(spark, sf_dir, "documents")).drop("row")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_read(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
+    "op8_mixing": op8_mixing,
     "op10_relative_lz": op10_relative_lz,
     "op9_simhash": op9_simhash,
 }
