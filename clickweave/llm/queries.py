@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickweave.llm.ball_tree import scaled, top_k
 from clickweave.llm.hyperlang import identify
 from clickweave.llm.mixing import mix
 from clickweave.llm.relative_lz import remove_copied
@@ -20,6 +22,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
+    return top_k(rows, F.col("vec_id") % 50 == 0, 5)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -47,6 +54,7 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ball_tree": op1_ball_tree,
     "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
     "op8_mixing": op8_mixing,
@@ -54,4 +62,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_ball_tree": OP1_SQL,
+}
