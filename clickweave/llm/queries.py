@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.ball_tree import scaled, top_k
 from clickweave.llm.hyperlang import identify
+from clickweave.llm.latent import contaminated
+from clickweave.llm.main_text import extract_main_text
 from clickweave.llm.mixing import mix
 from clickweave.llm.relative_lz import remove_copied
 from clickweave.llm.simhash import simhash_groups
@@ -27,6 +29,10 @@ def op1_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, F.col("vec_id") % 50 == 0, 5)
 
 
+def op2_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("row")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -41,6 +47,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(_read(spark, sf_dir, "documents"), tokenizer_path(), TOKENIZER_IDS)
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("row")
 
@@ -55,8 +65,10 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ball_tree": op1_ball_tree,
+    "op2_latent": op2_latent,
     "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
+    "op6_main_text": op6_main_text,
     "op8_mixing": op8_mixing,
     "op10_relative_lz": op10_relative_lz,
     "op9_simhash": op9_simhash,

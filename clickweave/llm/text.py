@@ -12,6 +12,8 @@ import numpy as np
 
 WORD_GAPS = np.zeros(256, bool)
 WORD_GAPS[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATION = WORD_GAPS.copy()  # those, control characters, and ASCII punctuation
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _U = np.uint64
@@ -49,14 +51,14 @@ class Words:
     first: np.ndarray  # word index where each text begins, and the count
 
 
-def words_of(data: np.ndarray, off: np.ndarray, lower: bool = False, hashes: bool = True) -> Words:
+def words_of(data: np.ndarray, off: np.ndarray, lower: bool = False, hashes: bool = True, gaps: np.ndarray = WORD_GAPS) -> Words:
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(data, none, none, none.astype(np.uint64), np.zeros(len(off), np.int64))
     if lower:
         data = LOWER[data]
-    inside = ~WORD_GAPS[data]
+    inside = ~gaps[data]
     heads = off[:-1][off[:-1] < n]
     joined = np.zeros(n, bool)  # byte continues the word of the byte before it
     joined[1:] = inside[1:] & inside[:-1]
