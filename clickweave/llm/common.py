@@ -23,6 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches to Python of 1,024 rows and about 4 MB at most, so long texts don't pile up in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 class Scratch:
     """Tables of one run, written as Parquet below the shared folder.
 
@@ -32,6 +38,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        bounded_batches(spark)
         self.root = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
@@ -52,7 +59,7 @@ def key_of(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_KEY))
 
 
-def arrow_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def arrow_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of a slice hold about ``limit`` bytes (one text at least)."""
     for batch in batches:
         if not batch.num_rows:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from clickweave.llm.common import arrow_slices
+from clickweave.llm.common import arrow_slices, bounded_batches
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -119,7 +119,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def _learn(dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for part in arrow_slices(batches, "text"):
+        for part in arrow_slices(batches, "text", 1 << 20):
             vectors, _ = bundle(part.column(0).to_pylist(), dimensions)
             vectors = _unit(vectors)
             names = np.array(part.column(1).to_pylist(), object)
@@ -138,6 +138,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray
     Every task adds up its own texts; Spark adds the tasks' sums by (language,
     dimension). The driver holds one vector per language.
     """
+    bounded_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"))
     sums = known.mapInArrow(_learn(dimensions), "lang string, at int, value double").groupBy("lang", "at").agg(F.sum("value").alias("value"))
     profiles = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("v")).select("lang", "v.value")
@@ -147,7 +148,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray
 def _predict(languages: list[str], prototypes: np.ndarray, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dimensions = prototypes.shape[1]
-        for part in arrow_slices(batches, "text"):
+        for part in arrow_slices(batches, "text", 1 << 20):
             vectors, letters = bundle(part.column(part.schema.get_field_index("text")).to_pylist(), dimensions)
             cosine = _unit(vectors) @ prototypes.T
             best = cosine.argmax(axis=1)

@@ -56,7 +56,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(_read(spark, sf_dir, "documents"))
+    return simhash_groups(_read(spark, sf_dir, "documents")).drop("row")
 
 
 def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,16 +49,16 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
 def _map_fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_slices(batches, "text", 1 << 22):
-            texts = part.column(1)
+            texts = part.column(2)
             fp = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))], ["doc_id", "row", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (doc_id, fp long) for every row of ``docs``."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _map_fingerprints(width), "doc_id long, fp long")
+    """Rows (doc_id, row, fp long) for every row of ``docs``; ``row`` is the hash of the text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(_map_fingerprints(width), "doc_id long, row long, fp long")
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -112,7 +112,7 @@ def links(scratch: Scratch, distinct: DataFrame, max_bits: int = MAX_BITS, pair_
 
 
 def simhash_groups(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows (doc_id, fingerprint, component_id) for every row of ``docs``.
+    """Rows (doc_id, row, fingerprint, component_id) for every row of ``docs``; ``row`` is the hash of the text.
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` differing bits. Null and empty texts have fingerprint zero
@@ -130,5 +130,5 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     linked = joined.join(least, "comp").select(F.col("node").alias("fp"), "component")
     of_class = scratch.table(classes.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")), "of-class")
     out = marked.join(of_class, "fp")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+    return out.select("doc_id", "row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.when(F.col("component") != NULL_KEY, F.col("component")).alias("component_id"))
