@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickweave.llm.ball_tree import scaled, top_k
 from clickweave.llm.hyperlang import identify
 from clickweave.llm.latent import contaminated
+from clickweave.llm.lm_scoring import score
 from clickweave.llm.main_text import extract_main_text
 from clickweave.llm.mixing import mix
 from clickweave.llm.relative_lz import remove_copied
@@ -39,6 +40,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path(TOKENIZER_FILE))
 
 
+def op3_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_hyperlang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ball_tree": op1_ball_tree,
     "op2_latent": op2_latent,
+    "op3_attention": op3_attention,
     "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
     "op6_main_text": op6_main_text,
