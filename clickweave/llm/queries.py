@@ -15,6 +15,7 @@ from clickweave.llm.main_text import extract_main_text
 from clickweave.llm.mixing import mix
 from clickweave.llm.relative_lz import remove_copied
 from clickweave.llm.simhash import simhash_groups
+from clickweave.llm.suffix_array import repeated_passages
 from clickweave.llm.token_store import token_output
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -56,6 +57,10 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_read(spark, sf_dir, "pages"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_read(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("row")
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hyperlang": op4_hyperlang,
     "op5_token_store": op5_token_store,
     "op6_main_text": op6_main_text,
+    "op7_suffix_array": op7_suffix_array,
     "op8_mixing": op8_mixing,
     "op10_relative_lz": op10_relative_lz,
     "op9_simhash": op9_simhash,
