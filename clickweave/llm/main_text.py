@@ -193,7 +193,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
                 line.append(" ")
             elif part is not article and (boilerplate(part) or part.digest in template and part.tag not in INLINE
                                           and not (inside and part.tag in PARAGRAPHS)):
-                if part.tag not in INLINE:
+                if part.tag not in INLINE and part.tag not in RAW:
                     flush()
             elif part.tag in INLINE:
                 todo += reversed(part.parts)
