@@ -3,9 +3,9 @@
 
 Counting metrics are one aggregation. Rank metrics (ROC AUC, ROC and PR
 curves) aggregate to one row per distinct score first; running sums over
-that table are distributed prefix sums (range partitions by score, a running
-sum inside each, plus the totals of all earlier partitions), so no window
-ever holds the whole table in one task.
+that table are distributed prefix sums (score ranges with fixed bounds, a
+running sum inside each, plus the totals of all ranges before it), so no
+window ever holds the whole table in one task.
 """
 
 from __future__ import annotations
@@ -39,10 +39,8 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
     """Long form (actual, predicted, n, row_share)."""
     cells = df.groupBy(F.col("label").alias("actual"), F.col("prediction").alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    # row totals: at most 2 rows, broadcast bounded by the number of classes
-    rows = df.groupBy(F.col("label").alias("actual")).agg(F.count(F.lit(1)).alias("_row"))
-    return cells.join(F.broadcast(rows), "actual").select("actual", "predicted", "n",
-                                                         (F.col("n") / F.col("_row")).alias("row_share"))
+    total = F.sum("n").over(Window.partitionBy("actual"))  # a few cells per class
+    return cells.select("actual", "predicted", "n", (F.col("n") / total).alias("row_share"))
 
 
 def _metrics_from_counts(c: DataFrame, key: str | None = None) -> DataFrame:
@@ -69,26 +67,41 @@ def score_counts(df: DataFrame, prob: str = "probability") -> DataFrame:
                                                      F.count_if(F.col("label") == 0).alias("neg"))
 
 
-PREFIX_PARTITIONS = 64
+RANGE_ROWS = 100_000  # about as many rows of the per-score table in one range
+
+
+def range_bounds(df: DataFrame, order_col: str, rows_per_range: int = RANGE_ROWS) -> list[float]:
+    """Inner bounds of ranges of about ``rows_per_range`` rows, from the row
+    count and approximate quantiles (one value per range on the driver)."""
+    n = df.count()
+    parts = -(-n // rows_per_range)
+    if parts < 2:
+        return []
+    found = df.agg(F.percentile_approx(order_col, [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
+    return sorted(set(found))
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: list[str], descending: bool = False,
-                n_parts: int = PREFIX_PARTITIONS) -> DataFrame:
+                rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order_col`` order.
 
-    The table is range-partitioned on the order column; each range computes
-    its own running sum (one task per range) and adds the sums of all earlier
-    ranges, read from a table with one row per range (bounded by
-    ``n_parts``, hence broadcast)."""
+    The bounds of the ranges are computed once and every row is put into its
+    range by comparison with them, so running sums and range totals agree on
+    the ranges however the plan is executed. Each range computes its own
+    running sum and adds the totals of all ranges before it, read from a table
+    with one row per range."""
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    parts = df.repartitionByRange(n_parts, key).withColumn("_pid", F.spark_partition_id())
+    bounds = range_bounds(df, order_col, rows_per_range)
+    above = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(order_col)) if bounds else None
+    ranged = df.withColumn("_pid", F.size(above) if bounds else F.lit(0))
     w = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = parts.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
-    totals = parts.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
+    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    pid = F.col("_pid").desc() if descending else F.col("_pid").asc()
+    before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
                                       for c in cols])
-    out = local.join(F.broadcast(offsets), "_pid")
+    out = local.join(offsets, "_pid")
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols])
 
 

@@ -32,7 +32,7 @@ def feats_full(spark, sf):
 
 
 def feats_first(spark, sf):
-    return features.build_session_features(raw_clicks(spark, sf), 5, "first_n")
+    return features.build_session_features(raw_clicks(spark, sf, first_n=5), 5, "first_n")
 
 
 def scaled(spark, sf, cols=SPACE):

@@ -8,6 +8,7 @@ import os
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from clickweave.operators import clusters, explain, online, ordering, stats, training
 from clickweave.operators.clean import prepare_clickstream
@@ -93,8 +94,8 @@ def q_rank_models(spark, sf):
 def q_score_sessions(spark, sf):
     train, _, cols = QM._split_train_test(spark, sf)
     model = training.model_logistic(cols, scaled=True).fit(train)
-    stored = frequency_table(prepare_clickstream(raw_clicks(spark, sf)), 5)
-    return online.score_sessions(raw_clicks(spark, sf), model, cols, freqs=stored, n=5)
+    stored = frequency_table(prepare_clickstream(raw_clicks(spark, sf, first_n=5)), 5)
+    return online.score_sessions(raw_clicks(spark, sf, first_n=5), model, cols, freqs=stored, n=5)
 
 
 @register("stream_score", "P-10")
@@ -102,7 +103,7 @@ def q_stream_score(spark, sf):
     """Event clicks land as files; the fire-once stream emits each user's
     first 5 clicks once; every micro-batch is scored with batch code and
     appended to the prediction sink, which is returned."""
-    from clickweave.streaming.nth_click import start
+    from clickweave.streaming.nth_click import read_sink, start
 
     base = os.path.join(checkpoint_dir(spark), "clickweave-stream", uuid.uuid4().hex)
     src, sink, ckpt = (os.path.join(base, d) for d in ("src", "sink", "ckpt"))
@@ -132,7 +133,7 @@ def q_stream_score(spark, sf):
 
     q = start(stream, score, sink, ckpt, n=5, trigger_once=True)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, "session_id BIGINT, probability DOUBLE, label STRING")
 
 
 def _landed_events(spark, sf):
@@ -149,15 +150,16 @@ def _landed_events(spark, sf):
   AS failed_rules FROM event_clicks)
 SELECT session_id, "order", failed_rules, CAST(failed_rules = '' AS INTEGER) AS is_valid FROM v""")
 def q_stream_clicks(spark, sf):
-    from clickweave.streaming.nth_click import validated_click_stream
+    from clickweave.streaming.nth_click import read_sink, validated_click_stream
 
     base, schema = _landed_events(spark, sf)
     stream = spark.readStream.schema(schema).parquet(os.path.join(base, "src"))
     q = validated_click_stream(stream, os.path.join(base, "valid"), os.path.join(base, "quarantine"),
                                os.path.join(base, "ckpt"))
     q.awaitTermination()
-    parts = [os.path.join(base, d) for d in ("valid", "quarantine") if os.path.isdir(os.path.join(base, d))]
-    return spark.read.parquet(*parts).select("session_id", "order", "failed_rules", "is_valid")
+    schema = StructType([*schema.fields, StructField("failed_rules", StringType()), StructField("is_valid", IntegerType())])
+    both = read_sink(spark, os.path.join(base, "valid"), schema).unionByName(read_sink(spark, os.path.join(base, "quarantine"), schema))
+    return both.select("session_id", "order", "failed_rules", "is_valid")
 
 
 @register("stream_predictions", "A-11")

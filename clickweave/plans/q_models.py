@@ -29,7 +29,7 @@ def _r(c, d=6):
 
 
 def labelled_features(spark, sf):
-    f = build_session_features(raw_clicks(spark, sf), 5, "first_n")
+    f = build_session_features(raw_clicks(spark, sf, first_n=5), 5, "first_n")
     return f.join(manual_labels(spark, sf).select("session_id", "label"), "session_id")
 
 

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clickweave.operators import online
 from clickweave.operators.clean import normalize_columns
 from clickweave.operators.features import build_session_features
 from clickweave.operators.frequencies import frequency_table
 from clickweave.plans import sql_features as S
-from clickweave.plans.registry import CLICKS_CTE, MANUAL_LABELS_CTE, register
+from clickweave.plans.registry import CLICKS_CTE, EVENT_CLICKS_CTE, MANUAL_LABELS_CTE, register
 from clickweave.session import checkpoint_dir
 from clickweave.sources import files
-from clickweave.sources.tables import manual_labels, raw_clicks
+from clickweave.sources.tables import event_clicks, manual_labels, raw_clicks
 
 W = "WITH " + CLICKS_CTE + ",\n" + MANUAL_LABELS_CTE
 
@@ -74,17 +76,26 @@ SELECT session_id, round(avg(mf), 6) AS mean_model_frequency, max(mf) AS max_mod
 FROM fx2 GROUP BY session_id""")
 def q_correct_frequencies(spark, sf):
     stored = frequency_table(_prepared(spark, sf), 5)
-    f = build_session_features(raw_clicks(spark, sf), 3, "first_n", freqs=stored)
+    f = build_session_features(raw_clicks(spark, sf, first_n=3), 3, "first_n", freqs=stored)
     return f.select("session_id", _r("mean_model_frequency"), "max_model_frequency", "min_model_frequency",
                     "first_model_frequency", "last_model_frequency", "last_category_frequency",
                     "last_colour_frequency")
 
 
-@register("stream_nth_click", "P-09", W + """
-, nb AS (SELECT *, CAST(row_number() OVER (PARTITION BY session_id ORDER BY "order") AS INTEGER) AS click_count FROM clicks)
+@register("stream_nth_click", "P-09", "WITH " + EVENT_CLICKS_CTE + """
+, nb AS (SELECT *, CAST(row_number() OVER (PARTITION BY session_id ORDER BY "order") AS INTEGER) AS click_count FROM event_clicks)
 SELECT * FROM nb WHERE click_count <= 5 AND session_id IN (SELECT session_id FROM nb WHERE click_count = 5)""")
 def q_stream_nth_click(spark, sf):
-    return online.nth_click_trigger(_prepared(spark, sf), 5)
+    """The event clicks land as files; the fire-once stream emits the first 5 clicks of each session that reaches its fifth."""
+    from clickweave.streaming.nth_click import read_sink, start
+
+    base = os.path.join(checkpoint_dir(spark), "clickweave-stream", uuid.uuid4().hex)
+    src, sink = os.path.join(base, "src"), os.path.join(base, "sink")
+    clicks = event_clicks(spark, sf)
+    clicks.write.parquet(src)
+    stream = spark.readStream.schema(clicks.schema).parquet(src)
+    start(stream, lambda batch: batch, sink, os.path.join(base, "ckpt"), n=5).awaitTermination()
+    return read_sink(spark, sink, StructType([*clicks.schema.fields, StructField("click_count", IntegerType())]))
 
 
 PRED = """,

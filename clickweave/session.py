@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,13 +44,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the operator of the cluster and is read, never
-    replaced. Only when it is unset (local tests) a fresh folder is created.
+    replaced. When it is unset a fresh folder is made if all tasks run in this
+    process (``local[..]``); on a cluster that folder would not be shared, so
+    an unset folder is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="clickweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -28,9 +28,12 @@ def read_clicks(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";"
 
 # A-02
 def read_external_labels(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Label file with a file-order column ``_row`` for keep-last de-duplication."""
+    """Label file with a file-order column ``_row`` for keep-last de-duplication:
+    (file, start of the block read, number within the task). A task reads its
+    blocks in order, so the triple ascends with the place in the file."""
     df = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
-    return df.withColumn("_row", F.monotonically_increasing_id())
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return df.withColumn("_row", F.struct(*place))
 
 
 # A-03

@@ -81,8 +81,9 @@ def raw_clicks(spark: SparkSession, sf_dir: str, first_n: int | None = None) ->
     else:
         from clickweave.operators.windows import bucketed_rank
 
-        numbered = bucketed_rank(li, "l_orderkey", line_order,
-                                 F.floor(F.col("l_linenumber") / 1024).cast("bigint"), "order")
+        # monotone in the line order and fine enough to split an order of any size
+        bucket = F.col("l_linenumber").cast("bigint") * (1 << 32) + F.floor(F.col("l_partkey") / 4096)
+        numbered = bucketed_rank(li, "l_orderkey", line_order, bucket, "order")
     price = F.floor(F.col("l_extendedprice") / 1000).cast("int")
 
     # Mean price per category over all line items: summed per part first
@@ -181,8 +182,8 @@ def event_clicks(spark: SparkSession, sf_dir: str, high_price_cut: float = 56.0)
     price = F.floor(F.col("value")).cast("int")
     from clickweave.operators.windows import bucketed_rank
 
-    # click number by (ts, event_id), bucketed by day: no window over a whole user
-    ev = bucketed_rank(ev, "user_id", ["ts", "event_id"], F.to_date("ts"), "order")
+    # click number by (ts, event_id), bucketed by hour: no window over a whole user or day
+    ev = bucketed_rank(ev, "user_id", ["ts", "event_id"], F.date_trunc("hour", "ts"), "order")
     return ev.select(
         F.col("user_id").alias("session_id"),
         F.col("order"),

@@ -1,7 +1,9 @@
+import datetime
+import decimal
 import os
 import tempfile
 
-from clickweave.streaming.nth_click import nth_click_stream
+from clickweave.streaming.nth_click import nth_click_stream, read_sink, score_and_merge
 
 
 def test_fires_once_on_fifth_click_and_survives_restart(spark):
@@ -29,6 +31,38 @@ def test_fires_once_on_fifth_click_and_survives_restart(spark):
     assert run() == []
 
 
+def test_buffered_clicks_keep_their_types(spark):
+    base = tempfile.mkdtemp(prefix="cw-stream-")
+    schema = "session_id BIGINT, `order` INT, price DOUBLE, model STRING, ts TIMESTAMP, amount DECIMAL(10,3), flag BOOLEAN, page INT"
+    ts = datetime.datetime(2024, 5, 6, 7, 8, 9, 123457)
+    rows = [(1, i, i / 3, "01", ts + datetime.timedelta(microseconds=i), decimal.Decimal(f"{i}.125"), i % 2 == 0, 10**9 + i) for i in range(1, 6)]
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(os.path.join(base, "src", "*"))
+        out = []
+        q = (nth_click_stream(stream, 5).writeStream.option("checkpointLocation", os.path.join(base, "ckpt"))
+             .foreachBatch(lambda b, i: out.extend(b.collect())).trigger(availableNow=True).start())
+        q.awaitTermination()
+        return out
+
+    for name, part in (("a", rows[:2]), ("b", rows[2:4]), ("c", rows[4:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(os.path.join(base, "src", name))
+        fired = run()
+    assert sorted(tuple(r)[:-1] for r in fired) == rows
+
+
+def test_replayed_batch_is_written_once(spark):
+    sink = os.path.join(tempfile.mkdtemp(prefix="cw-sink-"), "sink")
+    schema = "session_id BIGINT, probability DOUBLE"
+    assert read_sink(spark, sink, schema).count() == 0
+    merge = score_and_merge(lambda b: b, sink)
+    batch = spark.createDataFrame([(1, 0.5), (2, 0.25)], schema)
+    merge(batch, 0)
+    merge(batch, 0)  # the commit failed, the batch comes again
+    merge(batch.where("session_id = 1").selectExpr("session_id + 10 AS session_id", "probability"), 1)
+    assert sorted(tuple(r) for r in read_sink(spark, sink, schema).collect()) == [(1, 0.5), (2, 0.25), (11, 0.5)]
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 
