@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickweave.session import shared_table
+
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "macro_f1", "cohens_kappa"]
 # Inner edges of 10 equal-width bins on [0, 1] as a float grid produces them
 # (0.1 * i), so scores equal to an edge fall in the lower bin.
@@ -108,14 +110,14 @@ def prefix_sums(df: DataFrame, order_col: str, cols: list[str], descending: bool
 # M-03
 def roc_auc(df: DataFrame, prob: str = "probability") -> DataFrame:
     """Mann-Whitney AUC, ties counted one half."""
-    sc = prefix_sums(score_counts(df, prob), "score", ["neg"])
+    sc = prefix_sums(shared_table(score_counts(df, prob), "scores"), "score", ["neg"])
     below = F.col("cum_neg") - F.col("neg")
     per = sc.select("pos", "neg", (F.col("pos") * (below + F.col("neg") * 0.5)).alias("_u"))
     return per.agg((F.sum("_u") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 
 def _curve_base(df: DataFrame, prob: str) -> DataFrame:
-    sc = score_counts(df, prob)
+    sc = shared_table(score_counts(df, prob), "scores")
     total_pos = sc.agg(F.sum("pos")).scalar()
     total_neg = sc.agg(F.sum("neg")).scalar()
     cum = prefix_sums(sc, "score", ["pos", "neg"], descending=True)

@@ -27,16 +27,16 @@ def training_set(features: DataFrame, labels: DataFrame, label: str = "label") -
     joined = features.join(labels.select("session_id", label), "session_id").na.drop(subset=[label])
     cols = numeric_feature_columns(joined, exclude=("session_id", label, "cluster_id"))
     if not cols:
-        raise ValueError("No numeric feature columns available for training.")
+        raise ValueError("training needs at least one numeric feature column")
     return joined.select("session_id", F.col(label).cast("int").alias("label"), *cols), cols
 
 
 def check_training_set(df: DataFrame) -> None:
     n_classes = df.select("label").distinct().limit(3).count()
     if n_classes == 0:
-        raise ValueError("Training set is empty after joining features and labels.")
+        raise ValueError("no labelled session has features")
     if n_classes < 2:
-        raise ValueError("Training set needs both classes.")
+        raise ValueError("only one class is labelled")
 
 
 def right_size(df: DataFrame, rows_per_partition: int = 50000) -> DataFrame:
@@ -152,9 +152,12 @@ def probability_of_one(pred: DataFrame) -> DataFrame:
 
 def fit_score(pipeline, train: DataFrame, test: DataFrame) -> tuple[object, DataFrame]:
     model = pipeline.fit(train)
-    out = probability_of_one(model.transform(test)).select(
+    return model, score_rows(model, test)
+
+
+def score_rows(model, rows: DataFrame) -> DataFrame:
+    return probability_of_one(model.transform(rows)).select(
         "session_id", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
-    return model, out
 
 
 # L-10
@@ -236,8 +239,8 @@ def compare_models(train: DataFrame, test: DataFrame, builders: dict, evaluate)
     test ROC AUC first. Metric rows are single-row aggregates (scalars)."""
     rows, names = [], None
     for name, make in builders.items():
-        _, test_scored = fit_score(make(), train, test)
-        _, train_scored = fit_score(make(), train, train)
+        model, test_scored = fit_score(make(), train, test)
+        train_scored = score_rows(model, train)
         te, tr = evaluate(test_scored).first().asDict(), evaluate(train_scored).first().asDict()
         names = list(te)
         rows.append((name, *[float(te[k]) for k in names], *[float(tr[k]) for k in names]))

@@ -40,7 +40,7 @@ def q_read_cluster_files(spark, sf):
     T.assignments(spark, sf, 8).write.option("header", True).csv(a)
     T.cluster_label_map(spark).write.option("header", True).csv(lab)
     _, assign, lbl = files.read_cluster_files(spark, f, a, lab)
-    out = assign.join(F.broadcast(lbl), "cluster_id")
+    out = assign.join(lbl, "cluster_id")
     return out.select(F.col("session_id").cast("bigint"), F.col("cluster_id").cast("int"), "intent_label")
 
 

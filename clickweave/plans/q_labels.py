@@ -49,9 +49,18 @@ def _clicks(spark, sf):
     return raw_clicks(spark, sf)
 
 
+def _label_file(spark, sf):
+    """The manual labels with repeats, as a label file has them: every third
+    session carries an earlier, opposite row; the later row decides."""
+    last = manual_labels(spark, sf)
+    earlier = last.where("session_id % 3 = 0").select("session_id", (1 - F.col("label")).alias("label"),
+                                                      F.lit(0.1).alias("confidence"), F.lit(0).alias("file_row"))
+    return last.withColumn("file_row", F.lit(1)).unionByName(earlier)
+
+
 def _manual(spark, sf):
-    return labels.external_labels(_clicks(spark, sf), manual_labels(spark, sf), "manual",
-                                  confidence_column="confidence", row_order="session_id")
+    return labels.external_labels(_clicks(spark, sf), _label_file(spark, sf), "manual",
+                                  confidence_column="confidence", row_order="file_row")
 
 
 def _cluster_file(spark, sf):
@@ -84,8 +93,8 @@ def q_cluster_over_proxy(spark, sf):
 
 @register("manual_only", "H-05", W + "\nSELECT * FROM manual")
 def q_manual_only(spark, sf):
-    return labels.session_labels(_clicks(spark, sf), "manual_only", manual=manual_labels(spark, sf),
-                                 confidence_column="confidence", row_order="session_id")
+    return labels.session_labels(_clicks(spark, sf), "manual_only", manual=_label_file(spark, sf),
+                                 confidence_column="confidence", row_order="file_row")
 
 
 @register("cluster_only", "H-05", W + "\nSELECT * FROM cluster_only")
@@ -96,8 +105,8 @@ def q_cluster_only(spark, sf):
 @register("session_labels", "H-06", W + override_sql("proxy", "manual"))
 def q_session_labels(spark, sf):
     c = _clicks(spark, sf)
-    return labels.session_labels(c, "manual_over_proxy", manual=manual_labels(spark, sf),
-                                 confidence_column="confidence", row_order="session_id",
+    return labels.session_labels(c, "manual_over_proxy", manual=_label_file(spark, sf),
+                                 confidence_column="confidence", row_order="file_row",
                                  session_filter=labels.session_ids(c))
 
 
@@ -185,6 +194,6 @@ def q_class_distribution(spark, sf):
 SELECT session_id, count(DISTINCT label) AS n_labels FROM two_labels GROUP BY session_id HAVING count(DISTINCT label) > 1""")
 def q_label_conflicts(spark, sf):
     two = T.assignments(spark, sf, 8).unionByName(T.assignments(spark, sf, 3))
-    j = two.join(F.broadcast(T.cluster_label_map(spark)), "cluster_id").select(
+    j = two.join(T.cluster_label_map(spark), "cluster_id").select(
         "session_id", (F.col("intent_label") == "high-intent").cast("int").alias("label"))
     return features.label_conflicts(j)

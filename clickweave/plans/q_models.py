@@ -8,6 +8,7 @@ F -> 1, O -> 0). Fitted-model queries have no SQL oracle (rows-only check).
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -343,20 +344,27 @@ def q_permutation_importance(spark, sf):
     def score(pred):
         s = training.probability_of_one(pred).select("label", "probability")
         return metrics.roc_auc(s).first()[0]
-    return explain.permutation_importance(model, test, cols[:4], score, n_repeats=2)
+    return explain.permutation_importance(model, test, cols, score, n_repeats=5)
 
 
 @register("learning_curve", "M-10")
 def q_learning_curve(spark, sf):
     train, _, cols = _split_train_test(spark, sf)
     folded = training.stratified_folds(train, 5).withColumn("_u", training.unit_hash("session_id", 7))
-    rows = []
-    for frac in (0.2, 0.6, 1.0):
-        scores = []
-        for f in range(5):
-            tr = folded.where((F.col("fold") != f) & (F.col("_u") < frac))
-            _, out = training.fit_score(training.model_logistic(cols), tr, folded.where(F.col("fold") == f))
-            scores.append(metrics.roc_auc(out).first()[0])
+    folded = folded.persist()
+    fractions, rows = [i / 10 for i in range(1, 11)], []
+
+    def auc(task):
+        frac, f = task
+        tr = folded.where((F.col("fold") != f) & (F.col("_u") < frac))
+        _, out = training.fit_score(training.model_logistic(cols), tr, folded.where(F.col("fold") == f))
+        return metrics.roc_auc(out).first()[0]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:  # the fits are small jobs: run some at a time
+        found = list(pool.map(auc, [(frac, f) for frac in fractions for f in range(5)]))
+    folded.unpersist()
+    for i, frac in enumerate(fractions):
+        scores = found[5 * i:5 * i + 5]
         m = sum(scores) / len(scores)
         rows.append((frac, m, math.sqrt(sum((s - m) ** 2 for s in scores) / len(scores))))
     return spark.createDataFrame(rows, "train_fraction DOUBLE, mean_roc_auc DOUBLE, std_roc_auc DOUBLE")
@@ -366,8 +374,12 @@ def q_learning_curve(spark, sf):
 def q_validation_curve(spark, sf):
     train, _, cols = _split_train_test(spark, sf)
     _, table = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
-                                  {"maxIter": [50, 200, 1000]}, train, k=5)
-    return table
+                                  {"maxIter": [50, 100, 200, 300, 500, 1000]}, train, k=5)
+    # the inverse strength C of the penalty, as 1 / (C * rows) here
+    n = train.count()
+    _, by_c = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
+                                 {"regParam": [1.0 / (c * n) for c in (0.01, 0.1, 1.0, 10.0, 100.0)]}, train, k=5)
+    return table.unionByName(by_c)
 
 
 @register("model_knn", "L-07")

@@ -162,7 +162,7 @@ def _scratch(spark, name):
 @register("read_external_labels", "A-02", W + """
 SELECT session_id, label, confidence FROM manual_labels""")
 def q_read_external_labels(spark, sf):
-    path = _scratch(spark, f"manual_labels_{abs(hash(sf))}")
+    path = _scratch(spark, f"manual_labels_{uuid.uuid4().hex}")
     manual_labels(spark, sf).write.mode("overwrite").option("header", True).csv(path)
     df = files.read_external_labels(spark, path)
     return df.select(F.col("session_id").cast("bigint"), F.col("label").cast("int"),
@@ -171,6 +171,6 @@ def q_read_external_labels(spark, sf):
 
 @register("read_frequencies", "A-04", W + FREQ5 + "\nSELECT dim, value, freq FROM ft")
 def q_read_frequencies(spark, sf):
-    path = _scratch(spark, f"frequencies_{abs(hash(sf))}")
+    path = _scratch(spark, f"frequencies_{uuid.uuid4().hex}")
     frequency_table(_prepared(spark, sf), 5).select("dim", "value", "freq").write.mode("overwrite").json(path)
     return files.read_frequencies(spark, path)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE re-plans joins from runtime sizes
 # (a data-derived side is only broadcast when its *measured* size is under
@@ -61,6 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: computed
+    once, short lineage, and nothing is held in executor memory."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/clickweave-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set = set()
 
 
