@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,16 +16,19 @@ NULL_KEY = 2**63 - 1  # stands for a null id in keys and comparisons: larger tha
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see: ``spark.checkpoint.dir``; an own one only where it is unset."""
+    """Folder all executors see: ``spark.checkpoint.dir``; an own one only where it is unset and all tasks run in this process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches to Python of 1,024 rows and about 4 MB at most, so long texts don't pile up in one batch."""
+    """Batches of few rows from Parquet, and of about 4 MB at most to Python, so long texts don't pile up in one batch."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 

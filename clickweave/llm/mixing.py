@@ -83,7 +83,7 @@ def schedule(scratch: Scratch, goal: DataFrame, total: int, block: int = BLOCK_W
     width = -(-_POINTS // _GRID)
     cells = stretch.where("since < to").select("rank", "since", "to", F.explode(F.sequence(
         F.floor(F.col("since") / width), F.floor((F.col("to") - 1) / width))).alias("cell"))
-    cells = scratch.table(cells, "cells")
+    cells = scratch.table(cells.coalesce(1), "cells")
     points = spark.range(slots).select(F.col("id").alias("slot"), (F.col("id") % _POINTS * _STEP % _POINTS).alias("point"))
     points = points.withColumn("cell", F.floor(F.col("point") / width))
     chosen = points.join(cells, "cell").where("point >= since AND point < to").select(
@@ -104,9 +104,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_R
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"),
                        F.xxhash64(F.col("text").cast("string")).alias("row"))
     rows = scratch.table(rows.withColumn("shuffle", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("row"))), "sizes")
-    per_source = scratch.table(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "per-source")
+    per_source = scratch.table(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).repartition(1), "per-source")
     goal = scratch.table(targets(per_source.select("source", "source_size"), weights, repeat).join(
-        per_source.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "goal")
+        per_source.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s").repartition(1), "goal")
     total = goal.agg(F.sum("source_size")).first()[0] or 0
     mine = rows.withColumnRenamed("source", "s").join(goal, F.col("s").eqNullSafe(F.col("source"))).drop("s", "source")
     # the shuffled order of a source: its hashes, cut into ranges of about BUCKET_ROWS rows
