@@ -63,6 +63,12 @@ def key_of(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_KEY))
 
 
+def masked(docs: DataFrame, *kept: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but ``kept`` renamed, and the new names in order, so that helper columns clash with none."""
+    names = [n if n in kept else f"_column_{i}" for i, n in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def arrow_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of a slice hold about ``limit`` bytes (one text at least)."""
     for batch in batches:

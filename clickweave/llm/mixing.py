@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, key_of
+from clickweave.llm.common import Scratch, key_of, masked
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -144,6 +144,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken = mix(docs, **options).where("size > 0").groupBy("doc_id", "row").agg(
         F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")).where("_copies > 0")
     taken = taken.select(key_of("doc_id").alias("_key"), F.col("row").alias("_row"), "_copies")
-    keyed = docs.withColumns({"_key": key_of("doc_id"), "_row": F.xxhash64(F.col("text").cast("string"))})
+    rows, names = masked(docs, "doc_id", "text")
+    keyed = rows.withColumns({"_key": key_of("doc_id"), "_row": F.xxhash64(F.col("text").cast("string"))})
     return keyed.join(taken, ["_key", "_row"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[keyed[c] for c in docs.columns])
+        *names).toDF(*docs.columns)

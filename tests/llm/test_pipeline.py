@@ -29,6 +29,7 @@ def test_stages_on_odd_and_empty_tables(shipped, documents, odd_documents):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(shipped, docs, SF)
             assert out.columns == docs.columns
+            assert all(r["_key"] == r.n_chars == r.score for r in out.collect() if "_key" in docs.columns)
             texts = {r.text for r in out.select("text").collect()}
             assert texts <= {r.text for r in docs.select("text").collect()}
     kept = corpus_pipeline.drop_near_duplicates(shipped, odd_documents, SF).collect()
