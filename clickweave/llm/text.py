@@ -83,6 +83,16 @@ class RangeHash:
     def __init__(self, values: np.ndarray) -> None:
         n = len(values)
         self.sums = np.zeros(n + 1, np.uint64)
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each byte range, the ranges being neighbours that cover ``data``."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = end - start
+    values = _BYTE[data]
+    values *= powers(_BASE, int(size.max()))[np.arange(len(data)) - np.repeat(start, size)]
+    return mix64(np.add.reduceat(values, start) + size.astype(np.uint64))
+
+
         np.cumsum(values * powers(_BASE, n), out=self.sums[1:])
         self.back = powers(_INVERSE, n + 1)
 

@@ -29,17 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, arrow_slices
+from clickweave.llm.common import Scratch, arrow_slices, text_buffer
+from clickweave.llm.text import range_hashes, words_of
 
 END_ID = 2
 BLOCK_IDS = 1024
 SHARD_IDS = 1 << 20  # a shard is closed at this many ids; a longer document has a shard of its own
-CACHED_PIECES = 400_000  # pieces whose ids a task keeps; others are encoded again
+CACHED_PIECES = 1_500_000  # pieces whose ids a worker keeps; others are encoded again
 MAGIC = b"BITPACK1"
 _HEAD = struct.Struct("<8sIIIIQ")
-# a word with the space before it, or white space up to the last one before a word
-_PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_ODD = re.compile(r"[\x1c-\x1f]")  # white space for Python, not for the tokenizer
+# white space beyond ASCII, in UTF-8
+_ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -109,53 +109,90 @@ def _tokenizer(path: str):
     return found
 
 
+def cut_pieces(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges that the byte-level pre-tokenizer never joins across: together they are the texts.
+
+    A word with the space before it; what white space stands before that, but
+    for its last character, in one; that last character, if it isn't the
+    word's space; white space at the end of a text. Only for texts whose white
+    space is ASCII.
+    """
+    words = words_of(data, off, hashes=False)
+    first = np.searchsorted(words.first[:-1], np.arange(len(words.start)), side="right") - 1
+    gap = np.empty(len(words.start), np.int64)  # where the white space before a word begins
+    gap[1:] = words.end[:-1]
+    own = np.ones(len(gap), bool)
+    own[1:] = first[1:] != first[:-1]
+    gap[own] = off[first[own]]
+    size = words.start - gap
+    space = (size > 0) & (data[np.maximum(words.start - 1, 0)] == 32)
+    tail = off[:-1].copy()
+    full = np.flatnonzero(np.diff(words.first))
+    tail[full] = words.end[words.first[full + 1] - 1]
+    run, last, rest = size > 1, (size > 0) & ~space, tail < off[1:]
+    start = np.concatenate([gap[run], words.start[last] - 1, words.start - space, tail[rest]])
+    end = np.concatenate([words.start[run] - 1, words.start[last], words.end, off[1:][rest]])
+    order = np.argsort(start, kind="stable")
+    return start[order], end[order]
+
+
 class Encoder:
-    """Ids of whole texts, encoding each repeated piece once per task.
+    """Ids of whole texts, encoding each repeated piece once per worker.
 
-    The byte-level pre-tokenizer never joins characters across the borders of
-    ``_PIECE``, so a text's ids are those of its pieces in order.
+    A text's ids are those of its pieces in order. Pieces are known by 64-bit
+    hashes; the ids of those met so far lie in one array.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if _ODD.search(t) else _PIECE.findall(t) for t in texts]
-        known = self.known
-        new = list({p for pieces in split if pieces for p in pieces if p not in known})
-        here = known
-        if new:
-            ids = (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))
-            here = dict(zip(new, ids))
-            if len(known) + len(here) <= CACHED_PIECES:
-                known.update(here)
-                here = known
-            else:
-                here = _Two(known, here)
-        out = []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                out.append(np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32))
-            else:
-                out.append(np.frombuffer(b"".join(map(here.__getitem__, pieces)), "<u4"))
+        none = np.zeros(0, np.int64)
+        self.known = none.astype(np.uint64), none, none, none.astype(np.uint32)  # hashes (ascending), first id, count, ids
+
+    def _lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First id and count of each piece, and the ids."""
+        kinds, sample, kind = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
+        keys, first, count, ids = self.known
+        at = np.searchsorted(keys, kinds)
+        new = np.flatnonzero(~(keys[np.minimum(at, len(keys) - 1)] == kinds) if len(keys) else np.ones(len(kinds), bool))
+        if len(new):
+            raw = data.tobytes()
+            texts = [raw[a:b].decode() for a, b in zip(start[sample[new]].tolist(), end[sample[new]].tolist())]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            more = np.fromiter((i for x in found for i in x), np.uint32, size.sum())
+            keys, place = np.insert(keys, at[new], kinds[new]), at[new]
+            first = np.insert(first, place, len(ids) + np.cumsum(size) - size)
+            count, ids = np.insert(count, place, size), np.concatenate([ids, more])
+            if len(keys) <= CACHED_PIECES:
+                self.known = keys, first, count, ids
+            at = np.searchsorted(keys, kinds)
+        return first[at][kind], count[at][kind], ids
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a UTF-8 buffer."""
+        raw = data.tobytes()
+        odd = {int(np.searchsorted(off, m.start(), side="right")) - 1 for m in _ODD.finditer(raw)}
+        start, end = cut_pieces(data, off)
+        if not len(start):
+            return [np.zeros(0, np.uint32)] * (len(off) - 1)
+        first, count, ids = self._lookup(data, start, end)
+        flat = ids[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)]
+        border = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, off)]
+        out = [flat[a:b] for a, b in zip(border[:-1].tolist(), border[1:].tolist())]
+        for i in odd:
+            text = raw[off[i]:off[i + 1]].decode()
+            out[i] = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         return out
 
 
-class _Two(dict):
-    """Pieces of this call, and behind them those kept before."""
-
-    def __init__(self, known: dict, here: dict) -> None:
-        super().__init__(here)
-        self.known = known
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.known[piece]
+@cache
+def encoder(path: str) -> Encoder:
+    """This process's encoder; Python workers keep it from task to task."""
+    return Encoder(path)
 
 
 def _encode(path: str, bits: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         names, ids, count, shard, pid = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -164,9 +201,9 @@ def _encode(path: str, bits: int, end_id: int):
                  pa.array([names], pa.list_(pa.int64())), pa.array([write_shard(ids, bits)], pa.binary())],
                 ["part", "shard", "n_ids", "docs", "data"])
 
-        for part in arrow_slices(batches, "text", 1 << 18):
+        for part in arrow_slices(batches, "text", 1 << 20):
             pid = part.column(2)[0].as_py()
-            for doc, own in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
+            for doc, own in zip(part.column(0).to_pylist(), encoder(path).encode(*text_buffer(part.column(1)))):
                 own = np.append(own, np.uint32(end_id)).astype(np.uint32)
                 if count and count + len(own) > SHARD_IDS:
                     yield flush()
