@@ -7,6 +7,7 @@ those six are single bytes in UTF-8, so the bytes can be split directly.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -50,6 +51,11 @@ class Words:
     hash: np.ndarray
     first: np.ndarray  # word index where each text begins, and the count
 
+    @cached_property
+    def kinds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes (ascending), a word of each, the kind of every word, and how many words each kind has."""
+        return np.unique(self.hash, return_index=True, return_inverse=True, return_counts=True)
+
 
 def words_of(data: np.ndarray, off: np.ndarray, lower: bool = False, hashes: bool = True, gaps: np.ndarray = WORD_GAPS) -> Words:
     n = len(data)
@@ -77,12 +83,6 @@ def words_of(data: np.ndarray, off: np.ndarray, lower: bool = False, hashes: boo
     return Words(data, start, end, mix64(np.add.reduceat(values, at) + size.astype(np.uint64)), first)
 
 
-class RangeHash:
-    """Hash of any range of a sequence of 64-bit values, from prefix sums modulo 2**64."""
-
-    def __init__(self, values: np.ndarray) -> None:
-        n = len(values)
-        self.sums = np.zeros(n + 1, np.uint64)
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each byte range, the ranges being neighbours that cover ``data``."""
     if not len(start):
@@ -93,6 +93,12 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix64(np.add.reduceat(values, start) + size.astype(np.uint64))
 
 
+class RangeHash:
+    """Hash of any range of a sequence of 64-bit values, from prefix sums modulo 2**64."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        n = len(values)
+        self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values * powers(_BASE, n), out=self.sums[1:])
         self.back = powers(_INVERSE, n + 1)
 
