@@ -149,6 +149,15 @@ def test_benchmark_items_are_found(shipped, documents):
     assert clean.columns == frame.columns and clean.count() == frame.count() - len({d for d, _ in got})
 
 
+def test_no_item_of_a_large_benchmark_is_lost(shipped):
+    r = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 6000, r.integers(12, 60))) for _ in range(700)]
+    bench = shipped.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    frame = shipped.createDataFrame([(i, f"some words before {t} and after") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in latent.contaminated(frame, bench).where("kind = 'verbatim'").collect()}
+    assert got == {(i, i) for i in range(700)}
+
+
 def test_contamination_of_nothing(shipped, documents, odd_documents):
     bench = shipped.createDataFrame([(1, None), (None, "some item of a few words"), (2, ""), (2, "")], "item_id long, text string")
     assert latent.contaminated(odd_documents, bench).count() == 0
