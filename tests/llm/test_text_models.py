@@ -85,6 +85,17 @@ def test_windows_score_each_id_once_and_sum_to_one():
     assert np.allclose(score, -n * math.log10(attention.IDS), rtol=1e-5) and n.tolist() == (np.diff(begin) - 1).tolist()
 
 
+def test_every_window_of_the_training_texts_is_trained_on():
+    pieces = lm_scoring.load_pieces(tokenizer_path())
+    texts = [" ".join(f"word{i % 7} of{i}" for i in range(n)) for n in (0, 3, 40, 200)]
+    _, begin = lm_scoring.Pieces(pieces).sequences(words_of(*text_buffer(pa.array(texts)), lower=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["row", "text"])
+    out = pa.Table.from_batches(lm_scoring._gather(pieces, lm_scoring.TRAIN_RATE)(iter([batch]))).to_pylist()
+    assert sum(r["n"] for r in out if r["kind"] == 2) == sum(-(-(x - 1) // attention.WINDOW) for x in np.diff(begin).tolist())
+    ids = np.concatenate([np.frombuffer(r["data"], "<i2").reshape(-1, attention.WINDOW + 1)[:, 1:].ravel() for r in out if r["kind"] == 2])
+    assert (ids >= 0).sum() == (np.diff(begin) - 1).sum()
+
+
 def test_base_scores(documents, odd_documents):
     for frame in (documents, odd_documents):
         rows = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
