@@ -3,13 +3,16 @@
 Every page is parsed to an element tree. Subtrees are hashed with their tags,
 attributes and text, and Spark counts on how many pages of its host each hash
 occurs. Subtrees that recur across many pages of a host are its template.
+Pages of a host with the same text are copies and count as one page: what only
+copies share is their article.
 
 What is deleted: elements whose tag, role, class or id says that they are not
 the article (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts), and template subtrees. A page's article is its <article>
 or <main>, else its body. Inside an article a recurring paragraph, heading or
 list item is text that several pages quote and stays; only recurring
-containers go. Elsewhere all recurring blocks go.
+containers go. Elsewhere all recurring blocks go. <html>, <body> and an element
+that alone holds all text of the page or article are never template.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import Scratch, arrow_slices
 
 MIN_PAGES = 5  # a template subtree occurs on at least so many pages of its host
-MIN_SHARE = 0.1  # and on this share of them
+MIN_SHARE = 0.1  # and on this share of them,
+MANY_PAGES = 100  # or on so many, however large the host is
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg xmp".split())
@@ -150,17 +154,44 @@ def article_roots(root: Node) -> list[Node]:
     return found["article"] or found["main"] or [root]
 
 
+def sole_containers(articles: list[Node]) -> set[int]:
+    """Ids of the elements that alone hold all that an article or the page's body shows."""
+    out = set()
+    for node in articles:
+        while node:
+            shown = [p for p in node.parts if (p.strip() if isinstance(p, str) else not boilerplate(p) and shows_text(p))]
+            body = [p for p in shown if not isinstance(p, str) and p.tag in ("html", "body")]
+            node = body[0] if body else shown[0] if len(shown) == 1 and not isinstance(shown[0], str) else None
+            out.add(id(node))
+    return out
+
+
+def shows_text(node: Node) -> bool:
+    """Whether an element holds text outside boilerplate."""
+    todo = [node]
+    while todo:
+        for part in todo.pop().parts:
+            if isinstance(part, str):
+                if part.strip():
+                    return True
+            elif not boilerplate(part):
+                todo.append(part)
+    return False
+
+
 def countable(root: Node) -> set[int]:
     """Hashes of the page's subtrees that can be template: blocks outside boilerplate, and containers inside the article."""
     digest(root)
-    articles = {id(x) for x in article_roots(root) if x is not root}
+    roots = article_roots(root)
+    articles = {id(x) for x in roots if x is not root}
+    kept = articles | sole_containers(roots)
     out, todo = set(), [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside |= id(node) in articles
         for part in node.parts:
             if not isinstance(part, str) and not boilerplate(part):
-                if part.tag not in INLINE and id(part) not in articles and not (inside and part.tag in PARAGRAPHS):
+                if part.tag not in INLINE and part.tag not in ("html", "body") and id(part) not in kept and not (inside and part.tag in PARAGRAPHS):
                     out.add(part.digest)
                 todo.append((part, inside))
     return out
@@ -171,6 +202,13 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     if template:
         digest(root)
+    return text_of(root, template)
+
+
+def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
+    """``main_text`` of a parsed page, its subtrees hashed if there is a template."""
+    roots = article_roots(root)
+    kept = sole_containers(roots) if template else set()
     blocks: list[str] = []
     line: list[str] = []
 
@@ -180,7 +218,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
             blocks.append(text)
         line.clear()
 
-    for article in article_roots(root):
+    for article in roots:
         inside = article is not root
         todo: list = [article]
         while todo:
@@ -192,7 +230,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
             elif part.tag == "br":
                 line.append(" ")
             elif part is not article and (boilerplate(part) or part.digest in template and part.tag not in INLINE
-                                          and not (inside and part.tag in PARAGRAPHS)):
+                                          and part.tag not in ("html", "body") and id(part) not in kept and not (inside and part.tag in PARAGRAPHS)):
                 if part.tag not in INLINE and part.tag not in RAW:
                     flush()
             elif part.tag in INLINE:
@@ -206,13 +244,19 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, page) of each page's subtrees, and once with no digest; copies have the same ``page``."""
+    signed = lambda d: d - (1 << 64) if d >= 1 << 63 else d
     for part in arrow_slices(batches, "html", 1 << 22):
-        hosts, digests = [], []
+        hosts, digests, copies = [], [], []
         for host, page in zip(part.column(0).to_pylist(), part.column(1)):
-            own = countable(parse(page.as_py()))
-            hosts += [host] * len(own)
-            digests += [d - (1 << 64) if d >= 1 << 63 else d for d in own]
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.int64())], ["host", "digest"])
+            root = parse(page.as_py())
+            own = countable(root)
+            text = text_of(root)
+            hosts += [host] * (len(own) + 1)
+            digests += [None, *map(signed, own)]
+            copies += [signed(xxhash.xxh64_intdigest(text) if text else root.digest)] * (len(own) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(copies, pa.int64())],
+                                         ["host", "digest", "page"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,24 +273,27 @@ def host_of(url: str = "url") -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
     """Rows (page_id, url, text, n_chars), one per row of ``pages`` (page_id, url, html).
 
     Null and empty pages, and pages without article text, have text '' and
     n_chars 0. Pages without a host (null or odd URL) share the empty host.
-    Repeated rows count as pages of their own. Other columns are not read; an
-    empty table gives no rows.
+    Repeated rows stay and count as one page, like all pages of a host with
+    the same text. Other columns are not read; an empty table gives no rows.
 
-    Counts aggregate before the shuffle, so a host with most pages is no
-    bottleneck. A host's template list holds at most the subtrees of its pages
-    divided by ``min_share`` of its pages.
+    Subtrees are told apart by page before they are counted, so copies and a
+    host with most pages are no bottleneck. A host's template list holds at
+    most the subtrees of its pages divided by the smaller of ``many_pages``
+    and ``min_share`` of its pages.
     """
     scratch = Scratch(pages.sparkSession, "pages")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host_of().alias("host"))
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = rows.select("host", "html").mapInArrow(_subtrees, "host string, digest long")
-    counts = scratch.table(seen.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages), "counts")
-    template = counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share).groupBy("host").agg(
+    seen = scratch.table(rows.select("host", "html").mapInArrow(_subtrees, "host string, digest long, page long").distinct(), "subtrees")
+    counts = scratch.table(seen.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")), "counts")
+    scratch.drop("subtrees")
+    sizes = counts.where("digest IS NULL").select("host", F.col("n").alias("pages"))
+    often = counts.where(F.col("digest").isNotNull() & (F.col("n") >= min_pages))
+    template = often.join(sizes, "host").where((F.col("n") >= F.col("pages") * min_share) | (F.col("n") >= many_pages)).groupBy("host").agg(
         F.collect_list("digest").alias("template"))
     template = scratch.table(template, "template")
     return rows.join(template, "host", "left").select("page_id", "url", "html", "template").mapInArrow(

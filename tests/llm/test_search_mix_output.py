@@ -142,6 +142,21 @@ def test_template_removal(shipped):
     assert main_text.extract_main_text(shipped.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_copied_pages_and_large_hosts(shipped):
+    plain = "<html><head><title>{0}</title></head><body><div class=x><p>Shop</p></div><div><h1>Story {0}</h1><p>Of {0}</p></div></body></html>"
+    boxed = "<html><body><nav>{1}</nav><article><section><p>Tale {0}</p></section><div><ul><li>One</ul></div></article></body></html>"
+    rows = [(i, f"https://a.example/{i}", plain.format("copied" if i < 8 else i)) for i in range(40)]
+    rows += [(i, f"https://b.example/{i}", boxed.format("copied" if i < 108 else i, i)) for i in range(100, 110)]
+    rows += [(i, f"https://c.example/{i}", f"<html><body><div><p>Only {i // 10}</p></div></body></html>") for i in range(200, 210)]
+    odd = "<div><p>Sale now</p></div>"
+    rows += [(i, f"https://d.example/{i}", f"<body>{odd if i < 1150 else ''}<div><p>Item {i}</p></div></body>") for i in range(1000, 2600)]
+    got = {r.page_id: r.text for r in main_text.extract_main_text(shipped.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "Story copied\nOf copied" and got[20] == "Story 20\nOf 20"
+    assert got[100] == "Tale copied\nOne" and got[109] == "Tale 109\nOne"
+    assert {got[i] for i in range(200, 210)} == {"Only 20"}
+    assert got[1000] == "Item 1000" and got[2000] == "Item 2000"
+
+
 def test_articles_hold_their_documents(shipped, documents):
     flat = {" ".join(r.text.split()) for r in documents.select("text").collect()}
     pages = main_text.extract_main_text(shipped.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()
