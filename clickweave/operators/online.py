@@ -61,14 +61,17 @@ def sequence_classifier(n: int, n_features: int, hidden: int = 32, max_iter: int
 def sequence_cv(clicks: DataFrame, labels: DataFrame, n: int = 5, k: int = 5, seed: int = 42,
                 hidden: int = 32, max_iter: int = 30) -> DataFrame:
     """k-fold CV of the sequence classifier: per-fold metrics (scaler fitted
-    on the training folds' clicks only)."""
+    on the training folds' clicks only); folds run side by side."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.functions import array_to_vector
 
     from clickweave.operators import metrics, training
 
     folded = training.stratified_folds(labels.select("session_id", "label"), k, seed)
-    rows = []
-    for f in range(k):
+
+    def run(f: int) -> tuple:
         train_ids = folded.where(F.col("fold") != f)
         test_ids = folded.where(F.col("fold") == f)
         train_clicks = clicks.join(train_ids.select("session_id"), "session_id", "left_semi")
@@ -83,8 +86,11 @@ def sequence_cv(clicks: DataFrame, labels: DataFrame, n: int = 5, k: int = 5, se
             "session_id", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
         m = metrics.classification_metrics(out).first().asDict()
         m["roc_auc"] = metrics.roc_auc(out).first()[0]
-        rows.append((f, *[float(m[c]) if m[c] is not None else None for c in metrics.METRIC_NAMES + ["roc_auc"]]))
+        return (f, *[float(m[c]) if m[c] is not None else None for c in metrics.METRIC_NAMES + ["roc_auc"]])
+
     spark = clicks.sparkSession
+    with ThreadPool(k) as pool:
+        rows = pool.map(inheritable_thread_target(spark)(run), range(k))
     names = metrics.METRIC_NAMES + ["roc_auc"]
     return spark.createDataFrame(rows, ", ".join(["fold INT"] + [f"{c} DOUBLE" for c in names]))
 

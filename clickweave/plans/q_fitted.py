@@ -69,7 +69,7 @@ def q_sequence_classifier(spark, sf):
 
 def _sweep(spark, sf):
     clicks = prepare_clickstream(raw_clicks(spark, sf))
-    return online.n_click_sweep(clicks, manual_labels(spark, sf), 2, 4, k=3, hidden=8, max_iter=5)
+    return online.n_click_sweep(clicks, manual_labels(spark, sf), 2, 10, k=5, hidden=8, max_iter=5)
 
 
 @register("n_click_sweep", "P-05")

@@ -150,7 +150,7 @@ def q_click_conflict(spark, sf):
 
 @register("sequence_cv", "P-04")
 def q_sequence_cv(spark, sf):
-    return online.sequence_cv(_prepared(spark, sf), manual_labels(spark, sf), n=5, k=3, max_iter=20)
+    return online.sequence_cv(_prepared(spark, sf), manual_labels(spark, sf), n=5, k=5, max_iter=20)
 
 
 # ---- file sources: derived tables written to the shared folder, read back ----
