@@ -369,7 +369,7 @@ def q_fit_kmeans(spark, sf):
 
 @register("k_sweep", "J-10")
 def q_k_sweep(spark, sf):
-    return clusters.k_sweep(scaled(spark, sf), SPACE, ks=(2, 4, 6, 8), n_init=10)
+    return clusters.k_sweep(scaled(spark, sf), SPACE, n_init=10)
 
 
 # ---- K: cluster labels -------------------------------------------------------

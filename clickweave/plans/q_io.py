@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from clickweave.operators import clusters, labels, metrics, online, stats, training
+from clickweave.operators import clusters, labels, metrics, online, ordering, stats, training
 from clickweave.plans import q_clusters as QC
 from clickweave.plans import q_labels as QL
 from clickweave.plans import q_models as QM
@@ -61,8 +61,15 @@ def q_write_session_tables(spark, sf):
           QC.summary_select(QC.SUMMARY_COLS) + " FROM summ")
 def q_write_cluster_outputs(spark, sf):
     base = _path(spark, "cluster_outputs")
-    paths = files.write_cluster_outputs({"summary": QC.summary(spark, sf).select(*QC.SUMMARY_COLS)},
-                                        {"k": 8, "assignments": "session_id % 8"}, base)
+    assigned = T.assignments(spark, sf, QC.K)
+    z, a, cent = QC._space(spark, sf)
+    distances = clusters.distance_to_own(z, a, QC.SPACE, cent).select("session_id", "cluster_id", "distance_to_centroid")
+    # all four tables are written; the summary is read back for the check
+    paths = files.write_cluster_outputs(
+        {"assignments": assigned, "summary": QC.summary(spark, sf).select(*QC.SUMMARY_COLS),
+         "representatives": ordering.cluster_representatives(distances, top_n=5),
+         "labeled_sessions": clusters.manual_cluster_labels(assigned, T.cluster_label_map(spark))},
+        {"k": 8, "assignments": "session_id % 8"}, base)
     json.loads(spark.read.text(paths["metrics"]).first()[0])
     return QC.round_summary(spark.read.parquet(paths["summary"]))
 

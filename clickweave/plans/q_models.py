@@ -284,7 +284,7 @@ def q_model_bagging(spark, sf):
 @register("model_stacking", "L-12")
 def q_model_stacking(spark, sf):
     train, test, cols = _split_train_test(spark, sf)
-    return training.model_stacking(train, test, cols, k=3)
+    return training.model_stacking(train, test, cols, k=5)
 
 
 @register("tune_grid", "L-13")
@@ -297,8 +297,9 @@ def q_tune_grid(spark, sf):
 @register("tune_meta", "L-14")
 def q_tune_meta(spark, sf):
     train, _, cols = _split_train_test(spark, sf)
+    n = max(train.count(), 1)
     _, table = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
-                                  {"regParam": [1.0 / (c * 1000) for c in (0.01, 0.1, 1.0, 10.0, 100.0)]}, train, k=5)
+                                  {"regParam": [1.0 / (c * n) for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)]}, train, k=5)
     return table
 
 

@@ -1,6 +1,6 @@
 """Registered queries run their whole lists of values."""
 
-from clickweave.plans import q_fitted, q_online
+from clickweave.plans import q_clusters, q_fitted, q_io, q_models, q_online
 
 
 def _calls(monkeypatch, module, name, result=None):
@@ -20,3 +20,24 @@ def test_click_counts_and_folds(monkeypatch):
     (args, options), = sweep
     assert args[2:4] == (2, 10) and options["k"] == 5
     assert cv[0][1]["k"] == 5
+
+
+def test_cluster_and_model_lists(monkeypatch, spark):
+    monkeypatch.setattr(q_clusters, "scaled", lambda *a: None)
+    sweep = _calls(monkeypatch, q_clusters.clusters, "k_sweep")
+    q_clusters.q_k_sweep(None, None)
+    assert "ks" not in sweep[0][1] and len(sweep[0][0]) == 2  # the operator's own list, 2, 4 .. 30
+    monkeypatch.setattr(q_models, "_split_train_test", lambda *a: (spark.range(50), None, []))
+    stack, grid = _calls(monkeypatch, q_models.training, "model_stacking"), _calls(monkeypatch, q_models.training, "tune_grid", (None, None))
+    q_models.q_model_stacking(None, None)
+    q_models.q_tune_meta(None, None)
+    assert stack[0][1]["k"] == 5
+    assert [round(1 / (c * 50), 9) for c in grid[0][0][1]["regParam"]] == [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]
+
+
+def test_all_cluster_tables_are_written(monkeypatch, spark):
+    write, seen = q_io.files.write_cluster_outputs, {}
+    monkeypatch.setattr(q_io.files, "write_cluster_outputs", lambda tables, *a: (seen.update(tables), write(tables, *a))[1])
+    assert q_io.q_write_cluster_outputs(spark, "/root/testdata/sf0.001").count() == 8
+    assert set(seen) == {"assignments", "summary", "representatives", "labeled_sessions"}
+    assert seen["representatives"].groupBy("cluster_id").count().where("count = 5").count() == 8
