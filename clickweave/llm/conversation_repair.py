@@ -335,14 +335,12 @@ def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = BLO
     rows = rows.select(key_of("conv_id").alias("key"), F.col("turn").cast("long").alias("turn"), one_space("role").alias("role"),
                        one_space("text").alias("text"))
     rows = rows.withColumns({"order": F.coalesce("turn", F.lit(FIRST_TURN)), "digest": F.md5(F.concat(F.md5("role"), "text"))})
-    rows = scratch.table(rows, "rows")
-    # messages that stand at several turns of a conversation: all but the first are repeats
+    # messages that stand at several turns of a conversation: all but the first are repeats; written, so that the join knows their size
     repeats = rows.groupBy("key", "digest").agg(F.min("order").alias("first"), F.max("order").alias("_last")).where("first <> _last").drop("_last")
-    marked = scratch.table(rows.join(repeats, ["key", "digest"], "left"), "marked")
+    marked = rows.join(scratch.table(repeats, "repeats"), ["key", "digest"], "left")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = marked.repartitionByRange(parts, "key", "order", "digest").sortWithinPartitions("key", "order", "digest")
     pieces = scratch.table(sorted_rows.select("key", "turn", "role", "text", "digest", "first").mapInArrow(_pieces(block_rows, block_chars), _PIECE), "pieces")
-    scratch.drop("rows", "marked")
     chosen = pieces.where("NOT whole").drop("roles", "texts").groupBy("key").applyInPandas(
         _chain, "key long, part int, seq int, entry int, audit string, cost long, more_illegal long, shared_turns long")
     chosen = scratch.table(chosen, "chosen")
@@ -355,8 +353,10 @@ def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = BLO
     both = done.unionByName(split.select(*done.columns))
     types = {"whole": "boolean", "part": "int", "seq": "int"}
     schema = ", ".join(f"{c} {types.get(c, 'long')}" for c in kept)
-    return both.select("entry", "audit", "roles", "texts", *kept).mapInArrow(
-        _repaired, f"{schema}, audit string, messages array<struct<role:string,text:string>>")
+    out = scratch.table(both.select("entry", "audit", "roles", "texts", *kept).mapInArrow(
+        _repaired, f"{schema}, audit string, messages array<struct<role:string,text:string>>"), "repaired")
+    scratch.drop("repeats", "pieces", "chosen")
+    return out
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
