@@ -1,16 +1,18 @@
 """Training-set assembly and models (L-01 .. L-16) with ``pyspark.ml``.
 
-Splits and folds are deterministic hashes of the session id: a row's side
-depends only on its own id, so no window over a label (a label is a third of
-the data or more) is needed. Each class gets the test share in expectation
-(stratified by independence), and the split is reproducible in SQL.
+Splits and folds follow the order of md5(session id, seed) inside each class,
+with exact quotas, and are reproducible in SQL. No task sorts a class: the
+hash space is cut into ``HASH_BUCKETS`` buckets, a histogram of them says how
+many rows of the class lie before each, and rows are ranked inside a bucket
+only. A split needs one cut per class, so only the bucket with the cut is
+ranked and every row is then compared with the cut, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.operators.clean import numeric_feature_columns
@@ -23,8 +25,11 @@ def unit_hash(key: str = "session_id", seed: int | str = 42) -> Column:
 
 
 # L-01
-def training_set(features: DataFrame, labels: DataFrame, label: str = "label") -> tuple[DataFrame, list[str]]:
+def training_set(features: DataFrame, labels: DataFrame, label: str = "label", check: bool = True) -> tuple[DataFrame, list[str]]:
+    """Labelled feature rows and the numeric columns; no rows or one class only are errors."""
     joined = features.join(labels.select("session_id", label), "session_id").na.drop(subset=[label])
+    if check:
+        check_training_set(joined.select(F.col(label).alias("label")))
     cols = numeric_feature_columns(joined, exclude=("session_id", label, "cluster_id"))
     if not cols:
         raise ValueError("training needs at least one numeric feature column")
@@ -51,21 +56,85 @@ def right_size(df: DataFrame, rows_per_partition: int = 50000) -> DataFrame:
     return df.coalesce(parts)
 
 
+HASH_BUCKETS = 65_536
+
+
+def _hashed(df: DataFrame, salt: int | str) -> DataFrame:
+    """``_h``: the md5 that orders a class (ties: the id); ``_b``: its first 4 hex digits."""
+    h = F.md5(F.concat(F.col("session_id").cast("string"), F.lit(str(salt))))
+    return df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 4))
+
+
+def label_rank(df: DataFrame, salt: int | str, name: str = "rank") -> DataFrame:
+    """0-based rank of each row inside its label in md5 order. The window runs
+    over (label, bucket); the rows before a bucket come from the histogram,
+    which joins on the same keys."""
+    keyed = _hashed(df, salt)
+    counts = keyed.groupBy("label", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("label").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # HASH_BUCKETS rows a label
+    before = counts.select("label", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("label", "_b").orderBy("_h", "session_id"))
+    ranked = keyed.withColumn("_inside", inside).join(before, ["label", "_b"])
+    return ranked.select(*df.columns, (F.col("_before") + F.col("_inside") - 1).alias(name))
+
+
+def quota_cuts(df: DataFrame, fractions: Sequence[float], salt: int | str) -> list[dict]:
+    """For each fraction, per label, the (md5, id) of the last of the first
+    ceil(fraction * n) rows in md5 order; labels of a zero quota are left out."""
+    import math
+
+    keyed = _hashed(df.select("session_id", "label"), salt)
+    counts: dict = {}
+    for r in keyed.groupBy("label", "_b").count().collect():  # HASH_BUCKETS rows a label at most
+        counts.setdefault(r["label"], []).append((r["_b"], r["count"]))
+    wanted = []  # (position in fractions, label, bucket, rank inside it)
+    for label, found in counts.items():
+        total = sum(n for _, n in found)
+        for at, fraction in enumerate(fractions):
+            left = min(math.ceil(round(fraction * total, 9)), total)
+            for bucket, n in sorted(found):
+                if 0 < left <= n:
+                    wanted.append((at, label, bucket, left))
+                left -= n
+    out: list[dict] = [{} for _ in fractions]
+    if wanted:
+        buckets = df.sparkSession.createDataFrame(sorted({(w[1], w[2]) for w in wanted}), keyed.select("label", "_b").schema)
+        some = keyed.join(buckets, ["label", "_b"], "left_semi")
+        inside = F.row_number().over(Window.partitionBy("label", "_b").orderBy("_h", "session_id"))
+        asked = df.sparkSession.createDataFrame(wanted, "at INT, label " + dict(df.dtypes)["label"] + ", _b STRING, _r INT")
+        for r in some.withColumn("_r", inside).join(asked, ["label", "_b", "_r"]).collect():  # one row a cut
+            out[r["at"]][r["label"]] = (r["_h"], r["session_id"])
+    return out
+
+
+def _up_to(cuts: dict, salt: int | str) -> Column:
+    """Whether a row stands at or before its label's cut."""
+    h = F.md5(F.concat(F.col("session_id").cast("string"), F.lit(str(salt))))
+    out = F.lit(False)
+    for label, (digest, row) in cuts.items():
+        here = (h < digest) | ((h == digest) & (F.col("session_id") <= row))
+        out = F.when(F.col("label") == label, here).otherwise(out)
+    return out
+
+
 # L-02
 def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    return df.withColumn("is_test", (unit_hash("session_id", seed) < test_fraction).cast("int"))
+    """``is_test``: the first ceil(test_fraction * n) rows of each class in md5 order."""
+    cuts, = quota_cuts(df, [test_fraction], seed)
+    return df.withColumn("is_test", _up_to(cuts, seed).cast("int"))
 
 
 # L-03
-def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, check: bool = False) -> DataFrame:
+def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, check: bool = True) -> DataFrame:
+    """``fold``: rank in md5 order modulo k, per class, so folds differ by one row of a class at most."""
     if k < 2:
-        raise ValueError("k must be at least 2.")
+        raise ValueError(f"at least 2 folds are needed, got {k}")
     if check:
         smallest = df.groupBy("label").count().agg(F.min("count")).first()[0]
         if smallest is None or smallest < k:
-            raise ValueError(f"The smallest class has fewer than k={k} members.")
+            raise ValueError(f"{k} folds need as many rows of every class, the smallest has {smallest}")
     # own salt: independent of the train/test split drawn with the same seed
-    return df.withColumn("fold", F.floor(unit_hash("session_id", f"{seed}:folds") * k).cast("int"))
+    return label_rank(df, f"{seed}:folds", "fold").withColumn("fold", (F.col("fold") % k).cast("int"))
 
 
 # L-04
@@ -93,14 +162,14 @@ def scaler_stage(cols: Sequence[str]):
 
 
 # L-05 .. L-11: estimators (balanced class weights through ``weight``)
-def model_logistic(cols, scaled: bool = True, c: float = 1.0, n: int | None = None, max_iter: int = 1000):
+def model_logistic(cols, scaled: bool = True, c: float = 1.0, *, n: int, max_iter: int = 1000):
+    """Balanced logistic model with the penalty |w|^2 / (2 c) beside the summed loss of ``n`` training rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    reg = 1.0 / (c * n) if n else 0.0
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
-                            regParam=reg, elasticNetParam=0.0)
+                            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False)
     stages = scaler_stage(cols) if scaled else [VectorAssembler(inputCols=list(cols), outputCol="features")]
     return Pipeline(stages=stages + [lr])
 
@@ -144,6 +213,13 @@ def model_decision_tree(cols, max_depth: int = 10, min_leaf: int = 1, seed: int
                                                        minInstancesPerNode=min_leaf, seed=seed))
 
 
+def tree_estimator(max_depth: int, min_leaf: int, seed: int = 42):
+    """Decision tree over assembled ``features``."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    return DecisionTreeClassifier(labelCol="label", weightCol="weight", maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed)
+
+
 def probability_of_one(pred: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
@@ -160,89 +236,27 @@ def score_rows(model, rows: DataFrame) -> DataFrame:
         "session_id", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
 
 
-# L-10
-def model_bagging(train: DataFrame, test: DataFrame, cols: Sequence[str], base: str = "decision_tree",
-                  n_estimators: int = 10, max_samples: float = 1.0, max_features: float = 1.0,
-                  bootstrap: bool = True, seed: int = 42) -> DataFrame:
-    """Bag of base models on row samples (with replacement when bootstrap)
-    and column subsets; probabilities averaged per session."""
-    import random
-
-    rng = random.Random(seed)
-    scored = None
-    for i in range(n_estimators):
-        sample = train.sample(withReplacement=bootstrap, fraction=max_samples, seed=seed + i)
-        k = max(1, int(round(max_features * len(cols))))
-        sub = sorted(rng.sample(list(cols), k), key=list(cols).index)
-        pipe = model_logistic(sub, scaled=True) if base == "logistic" else model_decision_tree(sub, seed=seed + i)
-        _, s = fit_score(pipe, sample, test)
-        s = s.select("session_id", "label", F.col("probability").alias(f"p{i}"))
-        scored = s if scored is None else scored.join(s.drop("label"), "session_id")
-    prob = sum((F.col(f"p{i}") for i in range(n_estimators)), F.lit(0.0)) / n_estimators
-    return scored.select("session_id", "label", prob.alias("probability"),
-                         (prob >= 0.5).cast("int").alias("prediction"))
-
-
-# L-12
-def model_stacking(train: DataFrame, test: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
-    """Out-of-fold probabilities of base models -> balanced logistic meta model."""
-    bases = {"lr": lambda: model_logistic(cols), "rf": lambda: model_random_forest(cols, 50, 8, seed),
-             "dt": lambda: model_decision_tree(cols, 6, seed=seed)}
-    folded = stratified_folds(train, k, seed)
-    oof = None
-    for name, make in bases.items():
-        parts = None
-        for f in range(k):
-            _, s = fit_score(make(), folded.where(F.col("fold") != f), folded.where(F.col("fold") == f))
-            s = s.select("session_id", "label", F.col("probability").alias(name))
-            parts = s if parts is None else parts.unionByName(s)
-        oof = parts if oof is None else oof.join(parts.drop("label"), "session_id")
-    test_scores = None
-    for name, make in bases.items():
-        _, s = fit_score(make(), train, test)
-        s = s.select("session_id", "label", F.col("probability").alias(name))
-        test_scores = s if test_scores is None else test_scores.join(s.drop("label"), "session_id")
-    oof = class_weights(oof)
-    meta = model_logistic(list(bases), scaled=False)
-    test_scores = test_scores.withColumn("weight", F.lit(1.0))
-    _, out = fit_score(meta, oof, test_scores)
-    return out
+# L-15
+def compare_models(fitters: dict, train: DataFrame, test: DataFrame, evaluate, parallelism: int = 8) -> DataFrame:
+    """One row per model with its test and train metrics, best test ROC AUC
+    first. A fitter takes (train, test) and gives the scored rows of both;
+    models are fitted side by side, metric rows are single-row aggregates."""
+    from clickweave.operators.grid import side_by_side
 
+    def run(name: str) -> tuple:
+        told, learned = fitters[name](train, test)
+        return name, evaluate(told).first().asDict(), evaluate(learned).first().asDict()
 
-# L-13
-def tune_grid(pipeline_builder, grid: dict[str, list], train: DataFrame, k: int = 5, seed: int = 42,
-              parallelism: int = 4):
-    """Grid search on ROC AUC with k folds (fold column from the id hash)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    pipe = pipeline_builder()
-    est = pipe.getStages()[-1]
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(est.getParam(name), values)
-    folded = stratified_folds(train, k, seed)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=builder.build(), foldCol="fold", numFolds=k,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(folded)
-    spark = train.sparkSession
-    rows = [(str({p.name: v for p, v in m.items()}), float(s)) for m, s in zip(model.getEstimatorParamMaps(),
-                                                                                model.avgMetrics)]
-    table = spark.createDataFrame(rows, "params STRING, mean_test_roc_auc DOUBLE")
-    return model, table
-
-
-# L-15 / L-16
-def compare_models(train: DataFrame, test: DataFrame, builders: dict, evaluate) -> DataFrame:
-    """Fit each model, evaluate on train and test; one row per model, best
-    test ROC AUC first. Metric rows are single-row aggregates (scalars)."""
-    rows, names = [], None
-    for name, make in builders.items():
-        model, test_scored = fit_score(make(), train, test)
-        train_scored = score_rows(model, train)
-        te, tr = evaluate(test_scored).first().asDict(), evaluate(train_scored).first().asDict()
-        names = list(te)
-        rows.append((name, *[float(te[k]) for k in names], *[float(tr[k]) for k in names]))
+    found = side_by_side(train.sparkSession, run, list(fitters), parallelism)
+    names = list(found[0][1])
+    rows = [(name, *[float(te[k]) for k in names], *[float(tr[k]) for k in names]) for name, te, tr in found]
     schema = ", ".join(["model STRING"] + [f"test_{k} DOUBLE" for k in names] + [f"train_{k} DOUBLE" for k in names])
     return train.sparkSession.createDataFrame(rows, schema).orderBy(F.col("test_roc_auc").desc())
+
+
+def pipeline_fitter(make):
+    """Fitter of ``compare_models`` from a function train -> pipeline."""
+    def fit(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+        model = make(train).fit(train)
+        return score_rows(model, test), score_rows(model, train)
+    return fit

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from clickweave.operators import clusters, explain, online, ordering, stats, training
+from clickweave.operators import clusters, explain, metrics, online, ordering, stacking, stats, training
 from clickweave.operators.clean import prepare_clickstream
 from clickweave.operators.frequencies import frequency_table
 from clickweave.plans import q_clusters as QC
@@ -33,19 +33,29 @@ def q_run_cluster_labeling(spark, sf):
     return out["labeled_sessions"]
 
 
+def _area(told):
+    return metrics.roc_auc(training.probability_of_one(told).select("label", "probability")).first()[0]
+
+
 @register("importance_report", "N-06")
 def q_importance_report(spark, sf):
+    """Every method: a logistic model's coefficients and SHAP values, a forest's own importances, permutation of either, and the automatic choice."""
     train, _, cols = QM._split_train_test(spark, sf)
-    model = training.model_random_forest(cols, 50, 8).fit(train)
-    return explain.importance_report(model, train, cols, "auto")
+    line, forest = QM._logistic(train, cols).fit(train), training.model_random_forest(cols, 50, 8).fit(train)
+    out = None
+    for name, model, method in [("logistic", line, "coefficients"), ("logistic", line, "shap"), ("logistic", line, "auto"),
+                                ("forest", forest, "model"), ("forest", forest, "auto"), ("logistic", line, "permutation")]:
+        told = explain.importance_report(model, train, cols, method, score=_area)
+        value = "importance" if "importance" in told.columns else "mean_abs_shap" if "mean_abs_shap" in told.columns else "importance_mean"
+        told = told.select(F.lit(name).alias("model"), F.lit(method).alias("method"), "feature", F.col(value).cast("double").alias("importance"))
+        out = told if out is None else out.unionByName(told)
+    return out
 
 
 @register("stacking_importance", "N-07")
 def q_stacking_importance(spark, sf):
-    train, _, cols = QM._split_train_test(spark, sf)
-    bases = {"lr": training.model_logistic(cols).fit(train),
-             "rf": training.model_random_forest(cols, 50, 8).fit(train)}
-    return explain.stacking_importance(bases, cols, spark)
+    stack, _, test = QM._stack(spark, sf)
+    return stacking.stacking_importance(stack, test, _area)
 
 
 def _sequences(spark, sf, n=5):
@@ -85,15 +95,13 @@ def q_best_n_clicks(spark, sf):
 @register("rank_models", "E-07")
 def q_rank_models(spark, sf):
     train, test, cols = QM._split_train_test(spark, sf)
-    builders = {"logistic_regression": lambda: training.model_logistic(cols, scaled=False),
-                "decision_tree": lambda: training.model_decision_tree(cols)}
-    return ordering.best_model(training.compare_models(train, test, builders, QM._eval))
+    return ordering.best_model(training.compare_models(QM.baseline_fitters(cols), train, test, QM._eval))
 
 
 @register("score_sessions", "P-07")
 def q_score_sessions(spark, sf):
     train, _, cols = QM._split_train_test(spark, sf)
-    model = training.model_logistic(cols, scaled=True).fit(train)
+    model = QM._logistic(train, cols, scaled=True).fit(train)
     stored = frequency_table(prepare_clickstream(raw_clicks(spark, sf, first_n=5)), 5)
     return online.score_sessions(raw_clicks(spark, sf, first_n=5), model, cols, freqs=stored, n=5)
 

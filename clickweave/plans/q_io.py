@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from clickweave.operators import clusters, labels, metrics, online, ordering, stats, training
+from clickweave.operators import grid, clusters, labels, metrics, online, ordering, stats, training
 from clickweave.plans import q_clusters as QC
 from clickweave.plans import q_labels as QL
 from clickweave.plans import q_models as QM
@@ -94,9 +94,13 @@ def q_write_cluster_labels(spark, sf):
 @register("write_model_report", "A-08")
 def q_write_model_report(spark, sf):
     train, test, cols = QM._split_train_test(spark, sf)
-    model = training.model_logistic(cols).fit(train)
-    _, scored = training.fit_score(training.model_logistic(cols), train, test)
-    paths = files.write_model_report(model, QM._eval(scored), _path(spark, "model_report"))
+    frame = grid.fold_frame(train, cols, 5, 42)
+    found = grid.search_logistic(frame, cols, [{"c": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0)], 5)
+    frame.unpersist()
+    model, scored = training.fit_score(training.model_logistic(cols, c=found.params[found.best]["c"], n=train.count()), train, test)
+    measured = QM._eval(scored)
+    comparison = measured.select(F.lit("logistic_regression").alias("model"), *[F.col(c).alias(f"test_{c}") for c in measured.columns])
+    paths = files.write_model_report(model, measured, _path(spark, "model_report"), comparison, found.table(spark))
     return spark.read.json(paths["metrics"])
 
 

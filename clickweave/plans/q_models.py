@@ -12,10 +12,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
-from clickweave.operators import explain, metrics, training
+from clickweave.operators import bagging, explain, grid, metrics, stacking, training
 from clickweave.operators.features import build_session_features
 from clickweave.plans import sql_features as S
 from clickweave.plans.registry import CLICKS_CTE, MANUAL_LABELS_CTE, register
+from clickweave.session import shared_table
 from clickweave.sources.tables import manual_labels, raw_clicks
 
 WEIGHTS = {"n_clicks_observed": 0.25, "high_price_share_first_n": 1.5, "category_switch_rate": -0.5}
@@ -158,12 +159,16 @@ def q_class_report(spark, sf):
 
 
 
-def _hash_sql(seed=42):
-    return f"CAST(('0x' || substring(md5(CAST(session_id AS VARCHAR) || '{seed}'), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0"
+def _rank_sql(salt):
+    """0-based rank inside a label in the order of md5(id, salt)."""
+    return f"row_number() OVER (PARTITION BY label ORDER BY md5(CAST(session_id AS VARCHAR) || '{salt}'), session_id) - 1"
+
+
+IS_TEST = f"{_rank_sql(42)} < ceil(round(0.2 * count(*) OVER (PARTITION BY label), 9))"
 
 
 @register("train_test_gap", "M-08", BASE + f"""
-, sp AS (SELECT *, {_hash_sql()} < 0.2 AS is_test FROM sc),
+, sp AS (SELECT *, {IS_TEST} AS is_test FROM sc),
 c2 AS (SELECT is_test, count_if(label = 0 AND prediction = 0) AS tn, count_if(label = 0 AND prediction = 1) AS fp,
               count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 1 AND prediction = 1) AS tp
        FROM sp GROUP BY is_test),
@@ -172,13 +177,13 @@ l AS (UNPIVOT m ON accuracy, precision, recall, f1, macro_f1, cohens_kappa INTO
 SELECT a.metric, a.value AS train, b.value AS test, round(a.value - b.value, 9) AS gap
 FROM l a JOIN l b ON a.metric = b.metric AND NOT a.is_test AND b.is_test""")
 def q_train_test_gap(spark, sf):
-    s = training.stratified_split(scored(spark, sf))
+    s = training.stratified_split(shared_table(scored(spark, sf), "scored"))
     g = metrics.train_test_gap(s.where("is_test = 0"), s.where("is_test = 1"))
     g = g.select("metric", _r("train", 9), _r("test", 9))
     return g.withColumn("gap", F.round(F.col("train") - F.col("test"), 9))
 
 
-FOLDS = f"CAST(floor(({_hash_sql('42:folds')}) * 5) AS INTEGER)"
+FOLDS = f"CAST(({_rank_sql('42:folds')}) % 5 AS INTEGER)"
 
 
 @register("cv_summary", "M-09", BASE + f"""
@@ -225,9 +230,9 @@ def q_training_set(spark, sf):
 
 
 @register("stratified_split", "L-02", BASE + f"""
-SELECT session_id, label, CAST({_hash_sql()} < 0.2 AS INTEGER) AS is_test FROM sc""")
+SELECT session_id, label, CAST({IS_TEST} AS INTEGER) AS is_test FROM sc""")
 def q_stratified_split(spark, sf):
-    return training.stratified_split(scored(spark, sf).select("session_id", "label"))
+    return training.stratified_split(shared_table(scored(spark, sf).select("session_id", "label"), "labels"))
 
 
 @register("stratified_folds", "L-03", BASE + f"\nSELECT session_id, label, {FOLDS} AS fold FROM sc")
@@ -245,14 +250,24 @@ def q_class_weights(spark, sf):
 
 # ---- fitted models: rows-only checks ------------------------------------------
 
-def _split_train_test(spark, sf):
+def _labelled_table(spark, sf):
+    """Labelled model features, written once: splits, folds and fits read them many times."""
     lf = labelled_features(spark, sf)
-    df, cols = training.training_set(lf.select("session_id", *MODEL_FEATURES), lf.select("session_id", "label"))
+    return shared_table(lf.select("session_id", F.col("label").cast("int").alias("label"), *MODEL_FEATURES), "labelled")
+
+
+def _split_train_test(spark, sf):
+    lf = _labelled_table(spark, sf)
+    df, cols = training.training_set(lf.drop("label"), lf.select("session_id", "label"))
     # iterative fits read the training set many times: keep it cached
     df = training.right_size(training.class_weights(training.stratified_split(df))).cache()
     return df.where("is_test = 0"), df.where("is_test = 1"), cols
 
 
+def _logistic(train, cols, **kw):
+    return training.model_logistic(cols, n=train.count(), **kw)
+
+
 def _eval(scored_df):
     m = metrics.classification_metrics(scored_df)
     auc = metrics.roc_auc(scored_df)
@@ -267,7 +282,13 @@ def _fitted(builder):
     return q
 
 
-register("model_logistic", "L-05")(_fitted(lambda cols: training.model_logistic(cols, scaled=True)))
+@register("model_logistic", "L-05")
+def q_model_logistic(spark, sf):
+    train, test, cols = _split_train_test(spark, sf)
+    _, out = training.fit_score(_logistic(train, cols, scaled=True), train, test)
+    return out
+
+
 register("model_random_forest", "L-06")(_fitted(lambda cols: training.model_random_forest(cols)))
 register("model_gbt_a", "L-08")(_fitted(lambda cols: training.model_gbt_a(cols)))
 register("model_gbt_b", "L-09")(_fitted(lambda cols: training.model_gbt_b(cols)))
@@ -277,50 +298,65 @@ register("model_decision_tree", "L-11")(_fitted(lambda cols: training.model_deci
 @register("model_bagging", "L-10")
 def q_model_bagging(spark, sf):
     train, test, cols = _split_train_test(spark, sf)
-    return training.model_bagging(train, test, cols, "decision_tree", n_estimators=5, max_samples=1.0,
-                                  max_features=0.8)
+    return bagging.model_bagging(train, test, cols, bagging.FAMILIES[1])
+
+
+def _stack(spark, sf):
+    train, test, cols = _split_train_test(spark, sf)
+    return stacking.fit_stack(train, cols, k=5), train, test
 
 
 @register("model_stacking", "L-12")
 def q_model_stacking(spark, sf):
-    train, test, cols = _split_train_test(spark, sf)
-    return training.model_stacking(train, test, cols, k=5)
+    stack, _, test = _stack(spark, sf)
+    return training.score_rows(stack.model, test)
 
 
 @register("tune_grid", "L-13")
 def q_tune_grid(spark, sf):
+    """Every strength and penalty of the logistic grid, and tree depths, on 5 folds: scores of test and train folds, ranks."""
     train, _, cols = _split_train_test(spark, sf)
-    _, table = training.tune_grid(lambda: training.model_decision_tree(cols), {"maxDepth": [3, 5, 8]}, train, k=5)
-    return table
+    frame = grid.fold_frame(train, cols, 5, 42)
+    lines = grid.search_logistic(frame, cols, stacking.logistic_grid(), 5).table(spark)
+    trees = grid.search(frame, [({"maxDepth": d, "minInstancesPerNode": leaf}, training.tree_estimator(d, leaf))
+                                for d in (8, 10, 12, 30) for leaf in (2, 4, 6)], 5).table(spark)
+    frame.unpersist()
+    return lines.select(F.lit("logistic_regression").alias("model"), "*").unionByName(trees.select(F.lit("decision_tree").alias("model"), "*"))
 
 
 @register("tune_meta", "L-14")
 def q_tune_meta(spark, sf):
-    train, _, cols = _split_train_test(spark, sf)
-    n = max(train.count(), 1)
-    _, table = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
-                                  {"regParam": [1.0 / (c * n) for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)]}, train, k=5)
-    return table
+    """The meta model's strengths on the stack's out-of-fold scores."""
+    return _stack(spark, sf)[0].meta.table(spark)
+
+
+def _knn_fitter(cols):
+    from clickweave.operators.knn import knn_classify
+
+    def fit(train, test):
+        known = train.select("session_id", "label", *cols)
+        return [knn_classify(known, rows.select("session_id", "label", *cols), cols, k=15, weights="distance") for rows in (test, train)]
+    return fit
+
+
+def baseline_fitters(cols):
+    """The five baseline models of L-15."""
+    fitter = training.pipeline_fitter
+    return {"gbt_a": fitter(lambda train: training.model_gbt_a(cols)), "gbt_b": fitter(lambda train: training.model_gbt_b(cols)),
+            "random_forest": fitter(lambda train: training.model_random_forest(cols)), "knn": _knn_fitter(cols),
+            "logistic_regression": fitter(lambda train: _logistic(train, cols, scaled=False))}
 
 
 @register("compare_models", "L-15")
 def q_compare_models(spark, sf):
     train, test, cols = _split_train_test(spark, sf)
-    builders = {"logistic_regression": lambda: training.model_logistic(cols, scaled=False),
-                "random_forest": lambda: training.model_random_forest(cols),
-                "decision_tree": lambda: training.model_decision_tree(cols)}
-    return training.compare_models(train, test, builders, _eval)
+    return training.compare_models(baseline_fitters(cols), train, test, _eval)
 
 
 @register("compare_bagging", "L-16")
 def q_compare_bagging(spark, sf):
     train, test, cols = _split_train_test(spark, sf)
-    rows = []
-    for base in ("decision_tree", "logistic"):
-        out = training.model_bagging(train, test, cols, base, n_estimators=5, max_features=0.8)
-        rows.append((f"bagging_{base}", *[float(v) for v in _eval(out).first()]))
-    names = metrics.METRIC_NAMES + ["roc_auc"]
-    return spark.createDataFrame(rows, ", ".join(["model STRING"] + [f"test_{n} DOUBLE" for n in names]))
+    return bagging.compare_bagging(train, test, cols, _eval)
 
 
 @register("tree_importance", "N-01")
@@ -333,14 +369,14 @@ def q_tree_importance(spark, sf):
 @register("coefficient_importance", "N-02")
 def q_coefficient_importance(spark, sf):
     train, _, cols = _split_train_test(spark, sf)
-    model = training.model_logistic(cols, scaled=True).fit(train)
+    model = _logistic(train, cols, scaled=True).fit(train)
     return explain.coefficient_importance(explain.model_coefficients(model, cols), spark)
 
 
 @register("permutation_importance", "N-05")
 def q_permutation_importance(spark, sf):
     train, test, cols = _split_train_test(spark, sf)
-    model = training.model_logistic(cols, scaled=True).fit(train)
+    model = _logistic(train, cols, scaled=True).fit(train)
 
     def score(pred):
         s = training.probability_of_one(pred).select("label", "probability")
@@ -358,7 +394,7 @@ def q_learning_curve(spark, sf):
     def auc(task):
         frac, f = task
         tr = folded.where((F.col("fold") != f) & (F.col("_u") < frac))
-        _, out = training.fit_score(training.model_logistic(cols), tr, folded.where(F.col("fold") == f))
+        _, out = training.fit_score(_logistic(tr, cols), tr, folded.where(F.col("fold") == f))
         return metrics.roc_auc(out).first()[0]
 
     with ThreadPoolExecutor(max_workers=4) as pool:  # the fits are small jobs: run some at a time
@@ -373,20 +409,38 @@ def q_learning_curve(spark, sf):
 
 @register("validation_curve", "M-11")
 def q_validation_curve(spark, sf):
+    """Train and test areas over 5 folds for each step limit, and for each inverse strength of the penalty."""
     train, _, cols = _split_train_test(spark, sf)
-    _, table = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
-                                  {"maxIter": [50, 100, 200, 300, 500, 1000]}, train, k=5)
-    # the inverse strength C of the penalty, as 1 / (C * rows) here
-    n = train.count()
-    _, by_c = training.tune_grid(lambda: training.model_logistic(cols, scaled=True),
-                                 {"regParam": [1.0 / (c * n) for c in (0.01, 0.1, 1.0, 10.0, 100.0)]}, train, k=5)
-    return table.unionByName(by_c)
-
-
-@register("model_knn", "L-07")
+    frame = grid.fold_frame(train, cols, 5, 42)
+    limits = [{"max_iter": i} for i in (50, 100, 200, 300, 500, 1000, 2000)]
+    strengths = [{"c": c} for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)]
+    found = grid.search_logistic(frame, cols, limits + strengths, 5)
+    frame.unpersist()
+    return found.table(spark).drop("rank_test_roc_auc")
+
+
+def _knn_sql(k):
+    z = ", ".join(f"round((round({c}, 6) - m.m{i}) / (CASE WHEN m.s{i} = 0 THEN 1 ELSE m.s{i} END), 9) AS c{i}" for i, c in enumerate(MODEL_FEATURES))
+    moments = ", ".join(f"avg(round({c}, 6)) AS m{i}, stddev_pop(round({c}, 6)) AS s{i}" for i, c in enumerate(MODEL_FEATURES))
+    gap = " + ".join(f"(t.c{i} - r.c{i}) * (t.c{i} - r.c{i})" for i in range(len(MODEL_FEATURES)))
+    return BASE + f"""
+, kf AS (SELECT *, {IS_TEST} AS is_test FROM lf),
+mo AS (SELECT {moments} FROM kf WHERE NOT is_test),
+kz AS (SELECT kf.session_id, kf.label, kf.is_test, {z} FROM kf, mo AS m),
+near AS (SELECT t.session_id, t.label, r.label AS other, sqrt({gap}) AS d,
+                row_number() OVER (PARTITION BY t.session_id ORDER BY sqrt({gap}), r.session_id) AS rk
+         FROM kz t JOIN kz r ON t.is_test AND NOT r.is_test),
+w AS (SELECT session_id, label, other, CASE WHEN min(d) OVER (PARTITION BY session_id) = 0 THEN CAST(d = 0 AS DOUBLE) ELSE 1 / d END AS w
+      FROM near WHERE rk <= {k})
+SELECT session_id, label, round(sum(w * other) / sum(w), 9) AS probability, CAST(round(sum(w * other) / sum(w), 9) > 0.5 AS INTEGER) AS prediction
+FROM w GROUP BY session_id, label"""
+
+
+@register("model_knn", "L-07", _knn_sql(15))
 def q_model_knn(spark, sf):
     from clickweave.operators.knn import knn_classify
 
     train, test, cols = _split_train_test(spark, sf)
-    return knn_classify(train.select("session_id", "label", *cols), test.select("session_id", "label", *cols),
-                        cols, k=15, weights="distance", scale=True)
+    plain = [F.round(F.col(c).cast("double"), 6).alias(c) for c in cols]
+    out = knn_classify(train.select("session_id", "label", *plain), test.select("session_id", "label", *plain), cols, k=15, weights="distance")
+    return out.select("session_id", "label", _r("probability", 9)).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))

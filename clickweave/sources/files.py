@@ -99,13 +99,18 @@ def write_cluster_labels(labels: DataFrame, path: str) -> str:
 
 
 # A-08 / A-09 / A-13
-def write_model_report(model, metrics: DataFrame, out_dir: str, comparison: DataFrame | None = None) -> dict[str, str]:
+def write_model_report(model, metrics: DataFrame, out_dir: str, comparison: DataFrame | None = None,
+                       cv_results: DataFrame | None = None) -> dict[str, str]:
+    """Saved model, metrics (JSON), and if given the comparison table and the cross-validation results (CSV)."""
     paths = {"model": f"{out_dir.rstrip('/')}/model", "metrics": f"{out_dir.rstrip('/')}/metrics"}
     model.write().overwrite().save(paths["model"])
     metrics.write.mode("overwrite").json(paths["metrics"])
     if comparison is not None:
         paths["comparison"] = f"{out_dir.rstrip('/')}/comparison"
         comparison.write.mode("overwrite").option("header", True).csv(paths["comparison"])
+    if cv_results is not None:
+        paths["cv_results"] = f"{out_dir.rstrip('/')}/cv_results"
+        cv_results.write.mode("overwrite").option("header", True).csv(paths["cv_results"])
     return paths
 
 

@@ -27,12 +27,17 @@ def test_cluster_and_model_lists(monkeypatch, spark):
     sweep = _calls(monkeypatch, q_clusters.clusters, "k_sweep")
     q_clusters.q_k_sweep(None, None)
     assert "ks" not in sweep[0][1] and len(sweep[0][0]) == 2  # the operator's own list, 2, 4 .. 30
+
+
+def test_model_lists(monkeypatch, spark):
     monkeypatch.setattr(q_models, "_split_train_test", lambda *a: (spark.range(50), None, []))
-    stack, grid = _calls(monkeypatch, q_models.training, "model_stacking"), _calls(monkeypatch, q_models.training, "tune_grid", (None, None))
-    q_models.q_model_stacking(None, None)
-    q_models.q_tune_meta(None, None)
-    assert stack[0][1]["k"] == 5
-    assert [round(1 / (c * 50), 9) for c in grid[0][0][1]["regParam"]] == [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]
+    stack = _calls(monkeypatch, q_models.stacking, "fit_stack")
+    q_models._stack(None, None)
+    assert stack[0][1] == {"k": 5}  # the operator's own grids
+    assert len(q_models.stacking.logistic_grid()) == 64 and q_models.stacking.META_C == [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]
+    assert set(q_models.stacking.BASES) == {"logistic_regression", *q_models.stacking.TREES}
+    assert set(q_models.baseline_fitters([])) == {"logistic_regression", "random_forest", "knn", "gbt_a", "gbt_b"}
+    assert {b.base: b.n_estimators for b in q_models.bagging.FAMILIES} == {"logistic_regression": 100, "decision_tree": 100, "knn": 50}
 
 
 def test_all_cluster_tables_are_written(monkeypatch, spark):
