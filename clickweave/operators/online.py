@@ -1,4 +1,4 @@
-"""Sequences (P-01, P-02) and the batch forms of online scoring (P-06 .. P-14)."""
+"""Session sequences (P-01) and the batch forms of online scoring (P-06 .. P-14)."""
 
 from __future__ import annotations
 
@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 from clickweave.functions.values import PREDICTION_LABELS, decode
 from clickweave.operators.windows import click_window, first_n_clicks
 
-SEQUENCE_FEATURES = ["price", "higher_than_average", "page", "colour"]
-
 
 # P-01
-def session_sequences(clicks: DataFrame, labels: DataFrame, n: int = 5,
-                      cols: Sequence[str] = SEQUENCE_FEATURES) -> DataFrame:
+def session_sequences(clicks: DataFrame, labels: DataFrame, n: int, cols: Sequence[str]) -> DataFrame:
     """Per labelled session: its first ``n`` clicks as an ordered array of
     feature vectors. The per-session collect holds at most ``n`` rows (the
     first-N cut runs before it, also map-side)."""
@@ -27,74 +24,6 @@ def session_sequences(clicks: DataFrame, labels: DataFrame, n: int = 5,
     return seq.join(labels.select("session_id", "label"), "session_id")
 
 
-# P-02
-def sequence_scaler(clicks: DataFrame, cols: Sequence[str] = SEQUENCE_FEATURES) -> dict[str, tuple[float, float]]:
-    """Mean and population std per click feature (zero std -> 1): 2p numbers."""
-    row = clicks.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
-
-
-def apply_scaler(clicks: DataFrame, moments: dict[str, tuple[float, float]]) -> DataFrame:
-    out = clicks
-    for c, (m, s) in moments.items():
-        out = out.withColumn(c, (F.col(c).cast("double") - F.lit(m)) / F.lit(s))
-    return out
-
-
-def flatten_sequences(seq: DataFrame, n: int, n_features: int) -> DataFrame:
-    """Zero-pad each session to n x F values (the fixed-width input of the
-    sequence classifier)."""
-    flat = F.flatten(F.transform("steps", lambda s: s["x"]))
-    pad = F.array_repeat(F.lit(0.0), n * n_features)
-    return seq.select("session_id", "label", F.slice(F.concat(flat, pad), 1, n * n_features).alias("x"))
-
-
-# P-03 / P-04 / P-05
-def sequence_classifier(n: int, n_features: int, hidden: int = 32, max_iter: int = 30, seed: int = 42):
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-
-    return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                          layers=[n * n_features, hidden, 2], maxIter=max_iter, seed=seed)
-
-
-def sequence_cv(clicks: DataFrame, labels: DataFrame, n: int = 5, k: int = 5, seed: int = 42,
-                hidden: int = 32, max_iter: int = 30) -> DataFrame:
-    """k-fold CV of the sequence classifier: per-fold metrics (scaler fitted
-    on the training folds' clicks only); folds run side by side."""
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-    from pyspark.ml.functions import array_to_vector
-
-    from clickweave.operators import metrics, training
-
-    folded = training.stratified_folds(labels.select("session_id", "label"), k, seed)
-
-    def run(f: int) -> tuple:
-        train_ids = folded.where(F.col("fold") != f)
-        test_ids = folded.where(F.col("fold") == f)
-        train_clicks = clicks.join(train_ids.select("session_id"), "session_id", "left_semi")
-        scaler = sequence_scaler(train_clicks)
-        scaled = apply_scaler(clicks, scaler)
-        tr = flatten_sequences(session_sequences(scaled, train_ids, n), n, len(SEQUENCE_FEATURES))
-        te = flatten_sequences(session_sequences(scaled, test_ids, n), n, len(SEQUENCE_FEATURES))
-        tr = tr.withColumn("features", array_to_vector("x"))
-        te = te.withColumn("features", array_to_vector("x"))
-        model = sequence_classifier(n, len(SEQUENCE_FEATURES), hidden, max_iter, seed).fit(tr)
-        out = training.probability_of_one(model.transform(te)).select(
-            "session_id", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
-        m = metrics.classification_metrics(out).first().asDict()
-        m["roc_auc"] = metrics.roc_auc(out).first()[0]
-        return (f, *[float(m[c]) if m[c] is not None else None for c in metrics.METRIC_NAMES + ["roc_auc"]])
-
-    spark = clicks.sparkSession
-    with ThreadPool(k) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(run), range(k))
-    names = metrics.METRIC_NAMES + ["roc_auc"]
-    return spark.createDataFrame(rows, ", ".join(["fold INT"] + [f"{c} DOUBLE" for c in names]))
-
-
 # P-09 (batch twin): sessions that reach exactly click N emit their first N clicks once
 def nth_click_trigger(clicks: DataFrame, n: int = 5, tiebreak: Sequence[str] = ()) -> DataFrame:
     w = click_window(tiebreak)
@@ -147,32 +76,6 @@ def predictions_from_scores(scored: DataFrame) -> DataFrame:
                          F.col("probability").alias("prediction_probability"))
 
 
-# P-05 (+ E-08 on its output)
-def n_click_sweep(clicks: DataFrame, labels: DataFrame, start_n: int = 2, end_n: int = 10, k: int = 5,
-                  hidden: int = 8, max_iter: int = 1, seed: int = 42) -> DataFrame:
-    """Sequence-model CV for every N in [start_n, end_n]: mean and population
-    std of each metric over folds, one row per N."""
-    from clickweave.operators import metrics
-
-    if start_n <= 0 or end_n <= 0:
-        raise ValueError(f"click counts to try must be positive, got {start_n} to {end_n}")
-    if start_n > end_n:
-        raise ValueError(f"no click count lies between {start_n} and {end_n}")
-    rows = []
-    names = metrics.METRIC_NAMES + ["roc_auc"]
-    for n in range(start_n, end_n + 1):
-        per = sequence_cv(clicks, labels, n, k, seed, hidden, max_iter).collect()
-        row = [n]
-        for c in names:
-            vals = [r[c] for r in per if r[c] is not None]
-            m = sum(vals) / len(vals) if vals else None
-            sd = (sum((v - m) ** 2 for v in vals) / len(vals)) ** 0.5 if vals else None
-            row += [m, sd]
-        rows.append(tuple(row))
-    schema = ", ".join(["n_clicks INT"] + [f"cv_mean_{c} DOUBLE, cv_std_{c} DOUBLE" for c in names])
-    return clicks.sparkSession.createDataFrame(rows, schema)
-
-
 # P-07
 def score_sessions(clicks: DataFrame, model, expected: Sequence[str], freqs: DataFrame | None = None,
                    n: int = 5) -> DataFrame:

@@ -10,13 +10,13 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from clickweave.operators import clusters, explain, metrics, online, ordering, stacking, stats, training
+from clickweave.operators import clusters, explain, metrics, online, ordering, sequences, stacking, stats, training
 from clickweave.operators.clean import prepare_clickstream
 from clickweave.operators.frequencies import frequency_table
 from clickweave.plans import q_clusters as QC
 from clickweave.plans import q_models as QM
 from clickweave.plans.registry import register
-from clickweave.session import checkpoint_dir
+from clickweave.session import checkpoint_dir, shared_table
 from clickweave.operators.clean import CLICK_RULES
 from clickweave.sources.tables import EVENT_CLICKS_CTE, event_clicks, manual_labels, raw_clicks
 
@@ -59,27 +59,22 @@ def q_stacking_importance(spark, sf):
 
 
 def _sequences(spark, sf, n=5):
-    from pyspark.ml.functions import array_to_vector
-
-    clicks = prepare_clickstream(raw_clicks(spark, sf))
-    scaled = online.apply_scaler(clicks, online.sequence_scaler(clicks))
-    seq = online.session_sequences(scaled, manual_labels(spark, sf), n)
-    flat = online.flatten_sequences(seq, n, len(online.SEQUENCE_FEATURES))
-    return training.stratified_split(flat.withColumn("features", array_to_vector("x")))
+    """(rows with steps, label, is_test; feature names)"""
+    seq, cols = sequences.click_sequences(raw_clicks(spark, sf, first_n=n), manual_labels(spark, sf), n)
+    return training.stratified_split(shared_table(seq, "sequences")), cols
 
 
 @register("sequence_classifier", "P-03")
 def q_sequence_classifier(spark, sf):
-    data = _sequences(spark, sf).cache()
-    model = online.sequence_classifier(5, len(online.SEQUENCE_FEATURES), hidden=32, max_iter=30).fit(
-        data.where("is_test = 0"))
+    data, cols = _sequences(spark, sf)
+    model = sequences.sequence_pipeline(5, len(cols), hidden=32, max_iter=30).fit(data.where("is_test = 0"))
     pred = training.probability_of_one(model.transform(data.where("is_test = 1")))
     return pred.select("session_id", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
 
 
 def _sweep(spark, sf):
-    clicks = prepare_clickstream(raw_clicks(spark, sf))
-    return online.n_click_sweep(clicks, manual_labels(spark, sf), 2, 10, k=5, hidden=8, max_iter=5)
+    clicks = prepare_clickstream(raw_clicks(spark, sf, first_n=10))
+    return sequences.n_click_sweep(clicks, manual_labels(spark, sf), 2, 10, k=5, hidden=8, max_iter=5)
 
 
 @register("n_click_sweep", "P-05")
@@ -89,7 +84,7 @@ def q_n_click_sweep(spark, sf):
 
 @register("best_n_clicks", "E-08")
 def q_best_n_clicks(spark, sf):
-    return ordering.best_n_clicks(_sweep(spark, sf), "cv_mean_roc_auc")
+    return ordering.best_n_clicks(_sweep(spark, sf), "cv_mean_test_roc_auc")
 
 
 @register("rank_models", "E-07")
@@ -106,42 +101,75 @@ def q_score_sessions(spark, sf):
     return online.score_sessions(raw_clicks(spark, sf, first_n=5), model, cols, freqs=stored, n=5)
 
 
-@register("stream_score", "P-10")
-def q_stream_score(spark, sf):
-    """Event clicks land as files; the fire-once stream emits each user's
-    first 5 clicks once; every micro-batch is scored with batch code and
-    appended to the prediction sink, which is returned."""
+STREAM_SQL = "WITH " + EVENT_CLICKS_CTE + f"""
+, nb AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY "order") AS rn,
+                lag(page_1_main_category) OVER (PARTITION BY session_id ORDER BY "order") AS before FROM event_clicks),
+sf AS (SELECT session_id, count(*) AS n_clicks_observed, avg(CAST(price_2 = 1 AS INTEGER)) AS high_price_share_first_n,
+              avg(CAST(rn > 1 AND page_1_main_category <> before AS INTEGER)) AS category_switch_rate
+       FROM nb WHERE rn <= 5 GROUP BY session_id HAVING count(*) = 5),
+sp AS (SELECT session_id, round(1.0 / (1.0 + exp(-({QM.LOGIT_SQL}))), 4) AS probability FROM sf)
+SELECT session_id, probability, CASE WHEN probability >= 0.5 THEN 'high-intent' ELSE 'low-intent' END AS label FROM sp"""
+
+
+def _scoring_events(spark, sf):
+    """Event clicks with the column names and texts that the session features read."""
+    ev = event_clicks(spark, sf).withColumnRenamed("page_2_clothing_model", "page_2_model")
+    ev = ev.withColumn("higher_than_average", (F.col("price_2") == 1).cast("int"))
+    return ev.withColumn("main_category", F.element_at(F.create_map(
+        *[F.lit(x) for kv in {1: "trousers", 2: "skirts", 3: "blouses", 4: "sale"}.items() for x in kv]), F.col("page_1_main_category")))
+
+
+def _streamed(spark, sf, scorer):
+    """Lands the events as files, streams the first 5 clicks of each session that has them, and reads the prediction sink.
+    ``scorer`` makes the scoring function of a micro-batch from the landed clicks."""
     from clickweave.streaming.nth_click import read_sink, start
 
     base = os.path.join(checkpoint_dir(spark), "clickweave-stream", uuid.uuid4().hex)
     src, sink, ckpt = (os.path.join(base, d) for d in ("src", "sink", "ckpt"))
-    ev = event_clicks(spark, sf).withColumnRenamed("page_2_clothing_model", "page_2_model")
-    ev = ev.withColumn("higher_than_average", (F.col("price_2") == 1).cast("int"))
-    ev = ev.withColumn("main_category", F.element_at(F.create_map(
-        *[F.lit(x) for kv in {1: "trousers", 2: "skirts", 3: "blouses", 4: "sale"}.items() for x in kv]),
-        F.col("page_1_main_category")))
+    ev = _scoring_events(spark, sf)
     ev.repartition(4, "session_id").write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(ev.schema).parquet(src)
-    # training-time frequencies (first 5 clicks of all sessions), computed in
-    # batch once and used to correct the per-session frequency features (P-06)
-    from clickweave.operators.frequencies import materialize
+    start(stream, scorer(spark.read.parquet(src)), sink, ckpt, n=5, trigger_once=True).awaitTermination()
+    return read_sink(spark, sink, "session_id BIGINT, probability DOUBLE, label STRING")
 
-    stored = materialize(frequency_table(prepare_clickstream(spark.read.parquet(src)), 5))
 
-    def score(batch):
+@register("stream_score", "P-10", STREAM_SQL)
+def q_stream_score(spark, sf):
+    """Fire-once scoring by fixed weights; the frequencies are those of the training-time first clicks (P-06)."""
+    def scorer(landed):
         from clickweave.operators.features import build_session_features
 
-        f = build_session_features(batch.drop("click_count"), 5, "first_n", freqs=stored)
-        logit = F.lit(QM.INTERCEPT)
-        for c, w in QM.WEIGHTS.items():
-            logit = logit + F.lit(w) * F.col(c)
-        p = F.round(1.0 / (1.0 + F.exp(-logit)), 4)
-        return f.select("session_id", p.alias("probability"),
-                        F.when(p >= 0.5, "high-intent").otherwise("low-intent").alias("label"))
+        stored = shared_table(frequency_table(prepare_clickstream(landed), 5), "frequencies")
 
-    q = start(stream, score, sink, ckpt, n=5, trigger_once=True)
-    q.awaitTermination()
-    return read_sink(spark, sink, "session_id BIGINT, probability DOUBLE, label STRING")
+        def score(batch):
+            f = build_session_features(batch.drop("click_count"), 5, "first_n", freqs=stored)
+            logit = F.lit(QM.INTERCEPT)
+            for c, w in QM.WEIGHTS.items():
+                logit = logit + F.lit(w) * F.col(c)
+            p = F.round(1.0 / (1.0 + F.exp(-logit)), 4)
+            return f.select("session_id", p.alias("probability"), F.when(p >= 0.5, "high-intent").otherwise("low-intent").alias("label"))
+        return score
+
+    return _streamed(spark, sf, scorer)
+
+
+def saved_model_and_frequencies(spark, sf):
+    """A fitted model and the frequencies of its training clicks, saved to the shared folder and loaded again, with its feature list."""
+    from clickweave.sources import files
+
+    train, _, cols = QM._split_train_test(spark, sf)
+    base = os.path.join(checkpoint_dir(spark), "clickweave-models", uuid.uuid4().hex)
+    paths = files.write_model_report(QM._logistic(train, cols).fit(train), spark.createDataFrame([(len(cols),)], "features INT"), base)
+    frequency_table(prepare_clickstream(raw_clicks(spark, sf, first_n=5)), 5).write.json(f"{base}/frequencies")
+    model, expected = files.load_model(paths["model"])
+    return model, expected, files.read_frequencies(spark, f"{base}/frequencies")
+
+
+@register("stream_score_model", "P-10")
+def q_stream_score_model(spark, sf):
+    """Fire-once scoring by a saved model with stored training frequencies, the same code as batch scoring (P-07)."""
+    model, expected, stored = saved_model_and_frequencies(spark, sf)
+    return _streamed(spark, sf, lambda landed: lambda batch: online.score_sessions(batch.drop("click_count"), model, expected, stored, 5))
 
 
 def _landed_events(spark, sf):
@@ -170,7 +198,7 @@ def q_stream_clicks(spark, sf):
     return both.select("session_id", "order", "failed_rules", "is_valid")
 
 
-@register("stream_predictions", "A-11")
+@register("stream_predictions", "A-11", STREAM_SQL)
 def q_stream_predictions(spark, sf):
     """The prediction sink: one row per session that reached its 5th click."""
     return q_stream_score(spark, sf).select("session_id", "label", "probability")

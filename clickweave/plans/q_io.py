@@ -117,15 +117,15 @@ def q_load_model(spark, sf):
 
 @register("rnn_artifact_sink", "A-13")
 def q_rnn_artifact_sink(spark, sf):
-    """Sequence model artefacts: scaler moments + fitted network in one pipeline, saved and reloaded."""
-    from pyspark.ml import Pipeline, PipelineModel
+    """Sequence model artefacts: scaler moments, feature order and fitted network in one saved pipeline, reloaded."""
+    from pyspark.ml import PipelineModel
 
+    from clickweave.operators import sequences
     from clickweave.plans.q_fitted import _sequences
 
-    data = _sequences(spark, sf).cache()
-    pipe = Pipeline(stages=[online.sequence_classifier(5, len(online.SEQUENCE_FEATURES), 16, 10)])
+    data, cols = _sequences(spark, sf)
     path = _path(spark, "sequence_model")
-    pipe.fit(data.where("is_test = 0")).write().overwrite().save(path)
+    sequences.sequence_pipeline(5, len(cols), 16, 10).fit(data.where("is_test = 0")).write().overwrite().save(path)
     return PipelineModel.load(path).transform(data.where("is_test = 1")).select("session_id", "label", "prediction")
 
 

@@ -10,10 +10,12 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickweave.operators import bagging, explain, grid, metrics, stacking, training
 from clickweave.operators.features import build_session_features
+from clickweave.operators.many_logistic import areas
 from clickweave.plans import sql_features as S
 from clickweave.plans.registry import CLICKS_CTE, MANUAL_LABELS_CTE, register
 from clickweave.session import shared_table
@@ -444,3 +446,77 @@ def q_model_knn(spark, sf):
     plain = [F.round(F.col(c).cast("double"), 6).alias(c) for c in cols]
     out = knn_classify(train.select("session_id", "label", *plain), test.select("session_id", "label", *plain), cols, k=15, weights="distance")
     return out.select("session_id", "label", _r("probability", 9)).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+
+
+# ---- model choice over fixed scorers: the same operators with an SQL oracle ----
+
+SCORERS = {"all_three": WEIGHTS, "clicks": {"n_clicks_observed": 0.25}, "prices": {"high_price_share_first_n": 1.5}, "switches": {"category_switch_rate": -0.5}}
+
+
+def _scorer_sql(weights):
+    return "round(1.0 / (1.0 + exp(-(" + f"{INTERCEPT}" + "".join(f" + {w} * {c}" for c, w in weights.items()) + "))), 4)"
+
+
+# area under the curve from average ranks, per group
+def _area_sql(source, *keys):
+    by = ", ".join(keys)
+    return (f"SELECT {by}, (sum(CASE WHEN label = 1 THEN rk END) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0) "
+            f"/ (count_if(label = 1) * count_if(label = 0)) AS roc_auc FROM (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY score) "
+            f"+ (count(*) OVER (PARTITION BY {by}, score) - 1) / 2.0 AS rk FROM {source}) GROUP BY {by}")
+
+
+@register("rank_scorers", "E-07", BASE + """
+, sm AS (""" + " UNION ALL ".join(f"SELECT '{m}' AS model, label, {_scorer_sql(w)} AS score FROM lf" for m, w in SCORERS.items()) + f"""),
+au AS ({_area_sql('sm', 'model')})
+SELECT model, round(roc_auc, 9) AS test_roc_auc FROM au ORDER BY test_roc_auc DESC, model LIMIT 1""")
+def q_rank_scorers(spark, sf):
+    """The best of several fixed-weight scorers by ROC AUC."""
+    from clickweave.operators import ordering
+
+    names = list(SCORERS)
+    lf = labelled_features(spark, sf)
+    told = [F.round(1.0 / (1.0 + F.exp(-sum((F.lit(w) * F.col(c) for c, w in SCORERS[m].items()), F.lit(INTERCEPT)))), 4) for m in names]
+    scores = lf.select("label", F.posexplode(F.array(*told)).alias("model", "score")).withColumn("side", F.lit(1))
+    found = areas(scores).select(F.element_at(F.array(*map(F.lit, names)), F.col("model") + 1).alias("model"), _r_as("roc_auc", "test_roc_auc"))
+    return ordering.best_model(found)
+
+
+def _r_as(column, name, d=9):
+    return F.round(F.col(column), d).alias(name)
+
+
+@register("best_n_scorer", "E-08", "WITH " + CLICKS_CTE + ",\n" + MANUAL_LABELS_CTE + f"""
+, nb AS (SELECT session_id, higher_than_average, row_number() OVER (PARTITION BY session_id ORDER BY "order") AS rn FROM clicks),
+ns AS (SELECT CAST(n AS INTEGER) AS n_clicks FROM range(2, 11) r(n)),
+se AS (SELECT n_clicks, session_id, round(avg(higher_than_average), 9) AS score FROM nb JOIN ns ON rn <= n_clicks GROUP BY 1, 2),
+fo AS (SELECT session_id, label, {FOLDS} AS fold FROM manual_labels WHERE session_id IN (SELECT session_id FROM clicks)),
+sm AS (SELECT se.n_clicks, fo.fold, fo.label, se.score FROM se JOIN fo ON se.session_id = fo.session_id),
+au AS ({_area_sql('sm', 'n_clicks', 'fold')}),
+cv AS (SELECT n_clicks, round(avg(roc_auc), 9) AS a FROM au GROUP BY 1)
+SELECT n_clicks AS best_n_clicks, a AS best_cv_mean_test_roc_auc FROM cv ORDER BY a DESC, n_clicks LIMIT 1""")
+def q_best_n_scorer(spark, sf):
+    """N in 2 .. 10 whose share of dear clicks ranks sessions best, by the mean area over 5 folds."""
+    from clickweave.operators import ordering
+    from clickweave.operators.clean import prepare_clickstream
+    from clickweave.operators.sequences import _folds
+
+    clicks = shared_table(prepare_clickstream(raw_clicks(spark, sf, first_n=10)), "first-clicks")
+    folds = _folds(clicks, manual_labels(spark, sf), 5, 42)
+    numbered = clicks.select("session_id", "higher_than_average", F.row_number().over(
+        Window.partitionBy("session_id").orderBy("order")).alias("rn")).withColumn("n_clicks", F.explode(F.sequence(F.greatest("rn", F.lit(2)), F.lit(10))))
+    per = numbered.groupBy("n_clicks", "session_id").agg(F.round(F.avg("higher_than_average"), 9).alias("score"))
+    found = areas(per.join(folds, "session_id").select(F.col("n_clicks").cast("int").alias("model"), F.col("fold").alias("side"), "label", "score"))
+    cv = found.groupBy(F.col("model").alias("n_clicks")).agg(F.round(F.avg("roc_auc"), 9).alias("cv_mean_test_roc_auc"))
+    return ordering.best_n_clicks(cv, "cv_mean_test_roc_auc")
+
+
+@register("correlation_importance", "N-02", BASE + """
+, cw AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(coalesce(corr(round({c}, 6), label), 0), 6) AS coefficient FROM lf" for c in MODEL_FEATURES) + """)
+SELECT feature, coefficient, round(abs(coefficient) / (SELECT sum(abs(coefficient)) FROM cw), 6) AS importance FROM cw""")
+def q_correlation_importance(spark, sf):
+    """Coefficient importances of the linear scorer that weighs each feature by its correlation with the label."""
+    lf = labelled_features(spark, sf)
+    row = lf.agg(*[F.round(F.coalesce(F.corr(F.round(F.col(c).cast("double"), 6), F.col("label").cast("double")), F.lit(0.0)), 6).alias(c)
+                   for c in MODEL_FEATURES]).first()
+    out = explain.coefficient_importance(row.asDict(), spark)
+    return out.select("feature", "coefficient", _r("importance"))

@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from clickweave.operators import online
+from clickweave.operators import online, sequences, training
 from clickweave.operators.clean import normalize_columns
 from clickweave.operators.features import build_session_features
 from clickweave.operators.frequencies import frequency_table
 from clickweave.plans import sql_features as S
+from clickweave.plans.q_models import IS_TEST
+from clickweave.plans.q_windows import CLICK_LEVEL_BODY
 from clickweave.plans.registry import CLICKS_CTE, EVENT_CLICKS_CTE, MANUAL_LABELS_CTE, register
-from clickweave.session import checkpoint_dir
+from clickweave.session import checkpoint_dir, shared_table
 from clickweave.sources import files
 from clickweave.sources.tables import event_clicks, manual_labels, raw_clicks
 
@@ -31,28 +33,36 @@ def _r(c, d=6):
     return F.round(F.col(c), d).alias(c)
 
 
-SEQ = online.SEQUENCE_FEATURES
+# numeric columns of F-13 but session and position, in their order
+SEQ = ["year", "month", "day", "order", "country", "page_1_main_category", "colour", "location", "model_photography", "price", "price_2",
+       "page", "higher_than_average", "n_clicks_observed", "is_first_click", "is_last_observed_click", "running_high_price_count",
+       "running_high_price_share", "running_unique_pages", "running_unique_models", "running_unique_categories", "running_unique_colours",
+       "price_delta_from_prev", "category_changed_from_prev", "category_frequency", "colour_frequency", "model_frequency"]
+SEQ_SQL = W + CLICK_LEVEL_BODY + """,
+lab AS (SELECT cl.*, m.label FROM cl JOIN manual_labels m ON cl.session_id = m.session_id)"""
 
 
-@register("session_sequences", "P-01", W + f"""
-, lab AS (SELECT * FROM clicks WHERE session_id IN (SELECT session_id FROM manual_labels)
-          QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY "order") <= 5),
-st AS (SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY "order") AS pos,
-              [{", ".join(f"CAST({c} AS DOUBLE)" for c in SEQ)}] AS x FROM lab)
-SELECT s.session_id, m.label, flatten(list(x ORDER BY pos)) AS x
-FROM st s JOIN manual_labels m ON s.session_id = m.session_id GROUP BY s.session_id, m.label""")
+@register("session_sequences", "P-01", SEQ_SQL + f"""
+SELECT session_id, label, flatten(list([{", ".join(f'CAST("{c}" AS DOUBLE)' for c in SEQ)}] ORDER BY click_position)) AS x
+FROM lab GROUP BY session_id, label""")
 def q_session_sequences(spark, sf):
-    seq = online.session_sequences(_prepared(spark, sf), manual_labels(spark, sf), 5)
+    seq, cols = sequences.click_sequences(raw_clicks(spark, sf, first_n=5), manual_labels(spark, sf), 5)
+    assert cols == SEQ, cols
     return seq.select("session_id", "label", F.flatten(F.transform("steps", lambda s: s["x"])).alias("x"))
 
 
-@register("sequence_scaler", "P-02", W + "\nSELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
-    f"round(coalesce(nullif(stddev_pop(CAST({c} AS DOUBLE)), 0), 1.0), 6) AS std FROM clicks" for c in SEQ) + ")")
+@register("sequence_scaler", "P-02", SEQ_SQL + f"""
+, ses AS (SELECT DISTINCT session_id, label FROM lab),
+tr AS (SELECT lab.* FROM lab JOIN (SELECT session_id, {IS_TEST} AS is_test FROM ses) s ON lab.session_id = s.session_id WHERE NOT s.is_test)
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg(CAST(\"{c}\" AS DOUBLE)), 6) AS mean, "
+    f"round(coalesce(nullif(stddev_pop(CAST(\"{c}\" AS DOUBLE)), 0), 1.0), 6) AS std FROM tr" for c in SEQ) + ")")
 def q_sequence_scaler(spark, sf):
-    m = online.sequence_scaler(_prepared(spark, sf))
-    df = spark.createDataFrame([(c, float(a), float(b)) for c, (a, b) in m.items()], "feature STRING, mean DOUBLE, std DOUBLE")
-    return df.select("feature", _r("mean"), _r("std"))
+    """Moments over the first clicks of the training sessions."""
+    seq, cols = sequences.click_sequences(raw_clicks(spark, sf, first_n=5), manual_labels(spark, sf), 5)
+    train = training.stratified_split(shared_table(seq, "sequences")).where("is_test = 0")
+    found = [(c, float(m), float(s)) for c, (m, s) in zip(cols, sequences.step_moments(train, len(cols)))]
+    return spark.createDataFrame(found, "feature STRING, mean DOUBLE, std DOUBLE").select("feature", _r("mean"), _r("std"))
 
 
 FREQ5 = """,
@@ -150,7 +160,7 @@ def q_click_conflict(spark, sf):
 
 @register("sequence_cv", "P-04")
 def q_sequence_cv(spark, sf):
-    return online.sequence_cv(_prepared(spark, sf), manual_labels(spark, sf), n=5, k=5, max_iter=20)
+    return sequences.sequence_cv(raw_clicks(spark, sf, first_n=5), manual_labels(spark, sf), n=5, k=5, max_iter=20)
 
 
 # ---- file sources: derived tables written to the shared folder, read back ----

@@ -110,10 +110,17 @@ def test_stack_is_one_saved_model_and_its_importances(split, spark, tmp_path):
     assert all(r["importance_std"] is None for r in table if r["model"] != "stack")
 
 
+def gap(t, r):
+    total = 0.0
+    for c in COLS:  # not sum(): it compensates rounding
+        total += (t[c] - r[c]) * (t[c] - r[c])
+    return math.sqrt(total)
+
+
 def brute(train, test, k):
     out = []
     for t in test:
-        near = sorted((math.sqrt(sum((t[c] - r[c]) * (t[c] - r[c]) for c in COLS)), r["session_id"], r["label"]) for r in train)[:k]
+        near = sorted((gap(t, r), r["session_id"], r["label"]) for r in train)[:k]
         out += [(t["session_id"], i + 1, n, lab, round(d, 9)) for i, (d, n, lab) in enumerate(near)]
     return sorted(out)
 

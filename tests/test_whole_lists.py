@@ -12,9 +12,9 @@ def _calls(monkeypatch, module, name, result=None):
 def test_click_counts_and_folds(monkeypatch):
     for name in ("prepare_clickstream", "raw_clicks", "manual_labels"):
         monkeypatch.setattr(q_fitted, name, lambda *a, **k: None)
-    for name in ("_prepared", "manual_labels"):
+    for name in ("raw_clicks", "manual_labels"):
         monkeypatch.setattr(q_online, name, lambda *a, **k: None)
-    sweep, cv = _calls(monkeypatch, q_fitted.online, "n_click_sweep"), _calls(monkeypatch, q_online.online, "sequence_cv")
+    sweep, cv = _calls(monkeypatch, q_fitted.sequences, "n_click_sweep"), _calls(monkeypatch, q_online.sequences, "sequence_cv")
     q_fitted._sweep(None, None)
     q_online.q_sequence_cv(None, None)
     (args, options), = sweep
