@@ -4,10 +4,9 @@
 
 All dimensions are counted in one pass (one scan, one partially aggregated
 shuffle of ``(dim, value)`` keys). The result has one row per distinct value;
-it is materialised (``cache`` + count) before it is joined back, so the
-planner sees its true size: it is broadcast only when that size is under the
-broadcast threshold, and joined by a shuffle otherwise. Executor loss only
-drops cached blocks, which Spark recomputes from lineage.
+it is written before it is joined back, so the planner sees its true size: it
+is broadcast only when that size is under the broadcast threshold, and joined
+by a shuffle otherwise.
 """
 
 from __future__ import annotations
@@ -34,11 +33,10 @@ def batch_frequencies(batch: DataFrame, dims: Sequence[tuple[str, str]] = FREQUE
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cache a small derived table and compute it once, so later joins are
-    planned from its real size."""
-    df = df.cache()
-    df.count()
-    return df
+    """A small derived table, written once, so later joins are planned from its real size."""
+    from clickweave.session import shared_table
+
+    return shared_table(df, "frequencies")
 
 
 # A-16

@@ -97,7 +97,7 @@ def select_cluster_features(df: DataFrame, whitelist: Sequence[str] = CLUSTER_FE
     numeric = [c for c in numeric_feature_columns(df, exclude=tuple(CLUSTER_EXCLUDED))]
     selected = [c for c in whitelist if c in numeric]
     if not selected:
-        raise ValueError("No numeric feature columns available for clustering.")
+        raise ValueError("none of the listed cluster features is a numeric column here")
     return {"features": selected,
             "ignored_extra_numeric_features": [c for c in numeric if c not in whitelist],
             "missing_whitelisted_features": [c for c in whitelist if c not in df.columns]}

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from clickweave.functions.values import CATEGORIES, COLOURS, COUNTRIES, LOCATIONS, PHOTOGRAPHY, sql_case
 from clickweave.operators import clean
 from clickweave.plans.registry import CLICKS_CTE, EVENT_CLICKS_CTE, register
+from clickweave.session import checkpoint_dir
+from clickweave.sources import files
 from clickweave.sources.tables import TEXT_LABELS_CTE, event_clicks, raw_clicks, text_labels
 
 W = "WITH " + CLICKS_CTE
@@ -14,7 +19,10 @@ W = "WITH " + CLICKS_CTE
 
 @register("read_clicks", "A-01", W + "\nSELECT * FROM raw_clicks")
 def q_read_clicks(spark, sf):
-    return raw_clicks(spark, sf)
+    """The clicks as delimited files, read back by their schema; malformed lines would go to a second table."""
+    base = os.path.join(checkpoint_dir(spark), "clickweave-io", f"clicks_{uuid.uuid4().hex}")
+    raw_clicks(spark, sf).write.option("header", True).option("sep", ";").csv(f"{base}/csv")
+    return files.quarantine(files.read_clicks(spark, f"{base}/csv", sep=";", malformed="_malformed"), f"{base}/malformed")
 
 
 NORMALIZED_SQL = """

@@ -14,6 +14,7 @@ from clickweave.functions.values import CLUSTER_FEATURES
 from clickweave.operators import clusters, features, joins, labels, stats
 from clickweave.plans import sql_features as S
 from clickweave.plans import standins as T
+from clickweave.session import shared_table
 from clickweave.plans.registry import CLICKS_CTE, EVENT_CLICKS_CTE, MANUAL_LABELS_CTE, register
 from clickweave.sources.tables import event_clicks, manual_labels, raw_clicks
 
@@ -41,7 +42,8 @@ def scaled(spark, sf, cols=SPACE):
 
 
 def summary(spark, sf):
-    return clusters.cluster_summary(T.assignments(spark, sf, K), feats_full(spark, sf))
+    f = shared_table(feats_full(spark, sf), "features")  # assignments and features from one build of the clicks
+    return clusters.cluster_summary(T.assigned(f, K), f)
 
 
 # ---- SQL building blocks ----------------------------------------------------
@@ -476,7 +478,8 @@ FROM assign a LEFT JOIN feat f ON a.session_id = f.session_id""")
 def q_assignments_left_features(spark, sf):
     from clickweave.plans.q_sessions import round_unstable
 
-    return round_unstable(joins.assignments_left_features(T.assignments(spark, sf, K), feats_full(spark, sf)))
+    f = shared_table(feats_full(spark, sf), "features")
+    return round_unstable(joins.assignments_left_features(T.assigned(f, K), f))
 
 
 @register("describe_clusters", "D-09", BASE + SUMMARY_CTE + f""",

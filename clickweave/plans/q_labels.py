@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickweave.operators import features, filters, joins, labels
 from clickweave.operators.clean import normalize_intent_label_text
 from clickweave.plans import standins as T
+from clickweave.session import shared_table
 from clickweave.plans.registry import CLICKS_CTE, MANUAL_LABELS_CTE, register
 from clickweave.sources.tables import TEXT_LABELS_CTE, manual_labels, raw_clicks, text_labels
 
@@ -58,8 +59,8 @@ def _label_file(spark, sf):
     return last.withColumn("file_row", F.lit(1)).unionByName(earlier)
 
 
-def _manual(spark, sf):
-    return labels.external_labels(_clicks(spark, sf), _label_file(spark, sf), "manual",
+def _manual(spark, sf, sessions=None):
+    return labels.external_labels(sessions or _clicks(spark, sf), _label_file(spark, sf), "manual",
                                   confidence_column="confidence", row_order="file_row")
 
 
@@ -83,12 +84,16 @@ def q_external_labels(spark, sf):
 
 @register("manual_over_proxy", "H-03", W + override_sql("proxy", "manual"))
 def q_manual_over_proxy(spark, sf):
-    return labels.override_labels(labels.proxy_labels(_clicks(spark, sf)), _manual(spark, sf))
+    proxy = shared_table(labels.proxy_labels(_clicks(spark, sf)), "proxy")  # one build of the clicks: its sessions are theirs
+    return labels.override_labels(proxy, _manual(spark, sf, proxy.select("session_id")))
 
 
 @register("cluster_over_proxy", "H-04", W + override_sql("proxy", "cluster_only"))
 def q_cluster_over_proxy(spark, sf):
-    return labels.override_labels(labels.proxy_labels(_clicks(spark, sf)), _cluster_only(spark, sf))
+    proxy = shared_table(labels.proxy_labels(_clicks(spark, sf)), "proxy")
+    sessions = proxy.select("session_id")
+    file = labels.cluster_session_labels(T.assigned(sessions, 8), T.cluster_label_map(spark))
+    return labels.override_labels(proxy, labels.external_labels(sessions, file, "cluster"))
 
 
 @register("manual_only", "H-05", W + "\nSELECT * FROM manual")

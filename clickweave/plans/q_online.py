@@ -116,8 +116,8 @@ pred2 AS (SELECT session_id, CASE WHEN prediction_probability >= 0.5 THEN 'high-
           AS prediction_label, prediction_probability FROM pred)"""
 
 
-def _predictions(spark, sf):
-    trig = online.nth_click_trigger(_prepared(spark, sf), 5)
+def _predictions(clicks):
+    trig = online.nth_click_trigger(clicks, 5)
     p = trig.groupBy("session_id").agg(F.round(F.avg("higher_than_average"), 4).alias("probability"))
     p = p.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
     return online.predictions_from_scores(p)
@@ -129,7 +129,8 @@ SELECT c.session_id, c.click_count, CASE WHEN p.prediction_label IS NOT NULL THE
 FROM (SELECT session_id, count(*) AS click_count FROM clicks GROUP BY 1) c LEFT JOIN pred2 p
   ON c.session_id = p.session_id""")
 def q_session_state(spark, sf):
-    return online.session_state(_prepared(spark, sf), _predictions(spark, sf))
+    clicks = shared_table(_prepared(spark, sf).select("session_id", "order", "higher_than_average"), "clicks")
+    return online.session_state(clicks, _predictions(clicks))
 
 
 @register("click_log", "P-12", W + """
@@ -146,7 +147,8 @@ SELECT n.session_id, n."order", CAST(n.rn AS INTEGER) AS click_count, CAST(n.rn
        CAST(coalesce(CASE WHEN n.rn >= 5 THEN p.prediction_label END = 'high-intent', false) AS INTEGER) AS show_ad
 FROM nb n LEFT JOIN pred2 p ON n.session_id = p.session_id""")
 def q_click_events(spark, sf):
-    return online.click_events(_prepared(spark, sf), _predictions(spark, sf))
+    clicks = shared_table(_prepared(spark, sf).select("session_id", "order", "higher_than_average"), "clicks")
+    return online.click_events(clicks, _predictions(clicks))
 
 
 @register("click_conflict", "P-14", """

@@ -27,6 +27,11 @@ def assignments(spark: SparkSession, sf: str, k: int = 8) -> DataFrame:
         "session_id", (F.col("session_id") % k).cast("int").alias("cluster_id"))
 
 
+def assigned(sessions: DataFrame, k: int = 8) -> DataFrame:
+    """The same stand-in for a table of one row a session."""
+    return sessions.select("session_id", (F.col("session_id") % k).cast("int").alias("cluster_id"))
+
+
 def assignments_sql(k: int = 8) -> str:
     return f"SELECT DISTINCT session_id, CAST(session_id % {k} AS INTEGER) AS cluster_id FROM clicks"
 

@@ -12,6 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweave.session import shared_table
 from clickweave.sources.tables import RAW_CLICK_COLUMNS
 
 RAW_CLICK_SCHEMA = ", ".join(
@@ -20,10 +21,24 @@ RAW_CLICK_SCHEMA = ", ".join(
 
 
 # A-01
-def read_clicks(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";", schema: str | None = None) -> DataFrame:
+def read_clicks(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";", schema: str | None = None, malformed: str | None = None) -> DataFrame:
+    """Click table from Parquet or delimited files with a header line. ``malformed`` names a column that keeps the whole
+    line of rows with too few or too many fields or a field of another type (null for good rows)."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return spark.read.schema(schema or RAW_CLICK_SCHEMA).option("header", True).option("sep", sep).csv(path)
+    read = spark.read.option("header", True).option("sep", sep).option("enforceSchema", True)
+    schema = schema or RAW_CLICK_SCHEMA
+    if malformed is None:
+        return read.schema(schema).csv(path)
+    return read.schema(f"{schema}, `{malformed}` STRING").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed).csv(path)
+
+
+def quarantine(clicks: DataFrame, path: str, malformed: str = "_malformed") -> DataFrame:
+    """Writes the malformed lines to ``path`` (one text column, ``line``) and gives the good rows without that column.
+    The files are parsed once: both parts come from the written result."""
+    parsed = shared_table(clicks, "parsed-clicks")
+    parsed.where(F.col(malformed).isNotNull()).select(F.col(malformed).alias("line")).write.mode("overwrite").parquet(path)
+    return parsed.where(F.col(malformed).isNull()).drop(malformed)
 
 
 # A-02
@@ -36,12 +51,19 @@ def read_external_labels(spark: SparkSession, path: str, fmt: str = "csv") -> Da
     return df.withColumn("_row", F.struct(*place))
 
 
+TEXT_COLUMNS = ("intent_label", "cluster_label", "business_intent", "cluster_size_pct", "label")
+
+
 # A-03
 def read_cluster_files(spark: SparkSession, features_path: str, assignments_path: str, labels_path: str):
     out = []
     for path, need in ((features_path, {"session_id"}), (assignments_path, {"session_id", "cluster_id"}),
                        (labels_path, {"cluster_id", "intent_label"})):
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        # every column as text from the header line alone, then numbers where the whole column is one: no inference pass over large files
+        df = spark.read.option("header", True).csv(path)
+        names = [c for c in df.columns if c not in TEXT_COLUMNS]
+        df = df.select(*[(F.col(f"`{c}`").cast("int") if c == "cluster_id" else F.col(f"`{c}`").cast("long") if c == "session_id" else
+                          F.col(f"`{c}`").cast("double")).alias(c) if c in names else F.col(f"`{c}`") for c in df.columns])
         missing = need - set(df.columns)
         if missing:
             raise ValueError(f"{path} is missing required columns: {sorted(missing)}")

@@ -88,3 +88,21 @@ def test_correlation_paths_agree_with_pandas(spark):
         got = {(r.feature_a, r.feature_b): r.corr for r in stats.correlation_matrix(df, cols).collect()}
         for (x, y), v in got.items():
             assert abs(v - want.loc[x, y]) < 1e-9
+
+
+def test_malformed_click_lines_go_to_a_second_table(spark, tmp_path):
+    from clickweave.sources import files
+    from clickweave.sources.tables import RAW_CLICK_COLUMNS
+
+    good = ["2008", "4", "1", "1", "29", "1", "1", "A13", "1", "5", "1", "28.5", "2", "1"]
+    for sep in (";", ","):
+        place = tmp_path / ("semicolon" if sep == ";" else "comma")
+        place.mkdir()
+        bad = [good[:6], [*good, "extra"], ["x", *good[1:]], [*good[:11], "dear", *good[12:]]]
+        lines = [RAW_CLICK_COLUMNS, good, *bad, good]
+        (place / "clicks.csv").write_text("\n".join(sep.join(line) for line in lines) + "\n")
+        rows = files.quarantine(files.read_clicks(spark, str(place / "clicks.csv"), sep=sep, malformed="_malformed"), str(place / "bad"))
+        assert rows.columns == list(RAW_CLICK_COLUMNS) and rows.count() == 2
+        assert {r["page 2 (clothing model)"] for r in rows.collect()} == {"A13"} and rows.first()["price"] == 28.5
+        assert sorted(r["line"] for r in spark.read.parquet(str(place / "bad")).collect()) == sorted(sep.join(b) for b in bad)
+        assert files.read_clicks(spark, str(place / "clicks.csv"), sep=sep).count() == 6
