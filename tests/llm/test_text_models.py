@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from brute import lowered, words
 
@@ -53,12 +54,13 @@ def test_bundle_is_the_sum_of_bound_vectors():
 
 def test_gradient_by_differences():
     r = np.random.default_rng(0)
-    p = {k: v + r.standard_normal(v.shape) * 0.05 for k, v in attention.initial(r.integers(0, 50, attention.IDS)).items()}
+    p = {k: v + r.standard_normal(v.shape) * 0.05 for k, v in attention.initial().items()}
+    prior = _prior(r.integers(0, attention.IDS, 5000), r.integers(0, 50, attention.IDS))
     ids, targets = r.integers(0, attention.IDS, (2, 3, attention.WINDOW))
     scored = r.random(ids.shape) < 0.7
-    loss, grad = attention.gradient(p, ids, targets, scored)
+    loss, grad = attention.gradient(p, prior, ids, targets, scored)
     single = {k: v.astype(np.float32) for k, v in p.items()}
-    assert abs(loss + attention.Scorer(single)(ids, targets, scored).mean()) < 1e-4
+    assert abs(loss + attention.Scorer(single, prior)(ids, targets, scored).mean()) < 1e-4
     for name in p:
         at = tuple(int(r.integers(0, n)) for n in p[name].shape)
         if name == "E":
@@ -66,7 +68,7 @@ def test_gradient_by_differences():
         old, losses = p[name][at], []
         for step in (1e-5, -1e-5):
             p[name][at] = old + step
-            losses.append(attention.gradient(p, ids, targets, scored)[0])
+            losses.append(attention.gradient(p, prior, ids, targets, scored)[0])
         p[name][at] = old
         assert abs((losses[0] - losses[1]) / 2e-5 - grad[name][at]) < 1e-6
 
@@ -79,10 +81,9 @@ def test_windows_score_each_id_once_and_sum_to_one():
     ids, begin = cutter.sequences(w)
     for i, text in enumerate(texts):
         assert b"".join(pieces[k] for k in ids[begin[i] + 1:begin[i + 1] - 1]) == "".join(" " + x for x in words(text)).encode()
-    uniform = attention.initial(np.zeros(attention.IDS))
-    uniform["C"] *= 0
-    score, n = lm_scoring.score_texts(attention.Scorer(uniform), cutter, w)
-    assert np.allclose(score, -n * math.log10(attention.IDS), rtol=1e-5) and n.tolist() == (np.diff(begin) - 1).tolist()
+    uniform = attention.Prior(np.zeros(attention.IDS), np.zeros((attention.IDS, attention.IDS), np.float32))
+    score, n = lm_scoring.score_texts(attention.Scorer(attention.initial(), uniform), cutter, w)
+    assert np.allclose(score, -n * math.log10(attention.IDS), rtol=1e-3) and n.tolist() == (np.diff(begin) - 1).tolist()
 
 
 def test_every_window_of_the_training_texts_is_trained_on():
@@ -90,10 +91,13 @@ def test_every_window_of_the_training_texts_is_trained_on():
     texts = [" ".join(f"word{i % 7} of{i}" for i in range(n)) for n in (0, 3, 40, 200)]
     _, begin = lm_scoring.Pieces(pieces).sequences(words_of(*text_buffer(pa.array(texts)), lower=True))
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["row", "text"])
-    out = pa.Table.from_batches(lm_scoring._gather(pieces, lm_scoring.TRAIN_RATE)(iter([batch]))).to_pylist()
+    out = pa.Table.from_batches(lm_scoring._gather(pieces)(iter([batch]))).to_pylist()
     assert sum(r["n"] for r in out if r["kind"] == 2) == sum(-(-(x - 1) // attention.WINDOW) for x in np.diff(begin).tolist())
     ids = np.concatenate([np.frombuffer(r["data"], "<i2").reshape(-1, attention.WINDOW + 1)[:, 1:].ravel() for r in out if r["kind"] == 2])
     assert (ids >= 0).sum() == (np.diff(begin) - 1).sum()
+    whole = lm_scoring.Pieces(pieces).sequences(words_of(*text_buffer(pa.array(texts)), lower=True))[0]
+    pairs = collections.Counter((a, b) for lo, hi in zip(begin, begin[1:]) for a, b in zip(whole[lo:hi - 1].tolist(), whole[lo + 1:hi].tolist()))
+    assert {divmod(r["key"], attention.IDS): r["n"] for r in out if r["kind"] == 3} == pairs
 
 
 def test_base_scores(documents, odd_documents):
@@ -116,11 +120,43 @@ def test_training_beats_frequencies():
     r = np.random.default_rng(1)
     chain = np.tile(np.arange(300, 317), 40)[:attention.WINDOW * 40]
     rows = np.array([chain[i:i + attention.WINDOW + 1] for i in r.integers(0, len(chain) - attention.WINDOW - 1, 600)])
-    p = attention.initial(np.bincount(rows.ravel(), minlength=attention.IDS))
+    p = attention.initial()
+    prior = attention.Prior(np.bincount(rows.ravel(), minlength=attention.IDS), np.zeros((attention.IDS, attention.IDS), np.float32))
     every = np.ones((len(rows), attention.WINDOW), bool)
-    before = attention.Scorer(p)(rows[:, :-1], rows[:, 1:], every).mean()
-    attention.train(p, iter([rows] * 4), 0.02)
-    assert attention.Scorer(p)(rows[:, :-1], rows[:, 1:], every).mean() > before + 1
+    before = attention.Scorer(p, prior)(rows[:, :-1], rows[:, 1:], every).mean()
+    attention.train(p, prior, iter([rows] * 4), 0.02, 96)
+    assert attention.Scorer(p, prior)(rows[:, :-1], rows[:, 1:], every).mean() > before + 1
+
+
+def _prior(ids, counts):
+    pairs = np.zeros((attention.IDS, attention.IDS), np.float32)
+    np.add.at(pairs, (ids[:-1], ids[1:]), 1)
+    return attention.Prior(counts, pairs)
+
+
+def test_prior_holds_the_frequencies_after_an_id():
+    ids = np.random.default_rng(4).integers(0, 300, 20_000)
+    counts = np.bincount(ids, minlength=attention.IDS)
+    prior = _prior(ids, counts)
+    chance = (prior.classes[:, :, None] + prior.members.astype(np.float32))[:300].reshape(300, -1)
+    assert np.allclose(np.exp(chance).sum(axis=1), 1, atol=2e-3)
+    share = (counts + 0.5) / (counts + 0.5).sum()
+    pairs = collections.Counter(zip(ids[:-1].tolist(), ids[1:].tolist()))
+    seen = np.bincount(ids[:-1], minlength=300)
+    for a, b in [(5, 9), (17, 17), (299, 4000)]:
+        c = slice(b // 64 * 64, b // 64 * 64 + 64)
+        of_class, in_class = share[c].sum(), sum(pairs[a, i] for i in range(c.start, c.stop))
+        want = (in_class + 10 * of_class) / (seen[a] + 10) * (pairs[a, b] + 10 * share[b] / of_class) / (in_class + 10)
+        assert np.exp(chance[a, b]) == pytest.approx(want, rel=5e-3)
+
+
+def test_model_beats_word_counts_on_held_out_texts(shipped):
+    docs = shipped.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = lm_scoring.score(docs.select("doc_id", "text"), tokenizer_path()).where("held_out").agg(
+        {"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first()
+    model, base = rows["sum(score)"] / rows["sum(n_tokens)"], rows["sum(base_score)"] / rows["sum(n_tokens)"]
+    assert model > base + 0.05, (model, base)
+    assert lm_scoring.score(docs.limit(0).select("doc_id", "text"), tokenizer_path()).count() == 0
 
 
 def _plain_lcs(x, y):
