@@ -1,10 +1,13 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a sequence of slots of ``block`` words. Slot i takes the
-golden-ratio point frac(i / phi); the point falls into the stretch of one
-source on the line of cumulative targets, so every prefix of the sequence is
-close to the target weights. The r-th slot of a source takes block r of the
-source's shuffled words, cyclically. Only DataFrame operations are used.
+Each source's shuffled words are cut into equal blocks (lengths differ by one
+word at most), and its target is a number of turns, each taking the next block,
+cyclically. Slot i of the mix takes the golden-ratio point frac(i / phi); the
+point falls into the stretch of one source on the line of cumulative turns, so
+every prefix of the mix is close to the targets. A stretch can get a few points
+more or less than its turns: points beyond them are left, missing turns are
+made up at the end, so each source takes its turns exactly. Only DataFrame
+operations are used.
 
 Running sums over a source's documents and slots are taken inside buckets and
 joined to the sums of the buckets before, so a source holding most rows is
@@ -21,7 +24,7 @@ from clickweave.llm.common import Scratch, key_of, masked
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCK_WORDS = 64
-LEAST_SLOTS = 4096  # blocks are shorter where the mix would have fewer slots
+LEAST_BLOCKS = 64  # a source of fewer words than this many blocks hold is cut finer, to single words
 BUCKET_ROWS = 4096  # documents or slots of a source summed in one window
 _POINTS = 2_147_483_647  # points of the golden-ratio lattice
 _STEP = 1_327_217_885  # the multiplier nearest to _POINTS / phi
@@ -71,14 +74,28 @@ def _bucketed(rows: DataFrame, scratch: Scratch, name: str, value: Column, order
     return inner.join(base, ["rank", "bucket"]).withColumn("before", F.col("base") + F.col("inner")).drop("base", "inner", "bucket", "value")
 
 
-def schedule(scratch: Scratch, goal: DataFrame, total: int, block: int = BLOCK_WORDS) -> DataFrame:
-    """Rows (slot, rank, turn): the source of each slot and how many of its slots come before."""
+def turns(goal: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """Adds ``blocks``, ``short`` (words of a block, the first ``longer`` blocks have one more) and ``turns``."""
+    size = F.col("source_size")
+    cut = goal.withColumn("blocks", F.greatest(F.ceil(size / block).cast("long"), F.least(size, F.lit(LEAST_BLOCKS)), F.lit(1)))
+    cut = cut.withColumns({"short": F.floor(size / F.col("blocks")).cast("long"), "longer": (size % F.col("blocks")).cast("long")})
+    passes = F.floor(F.col("target") / size)
+    rest, long = F.col("target") - passes * size, F.col("longer") * (F.col("short") + 1)
+    last = F.when(rest <= long, rest / (F.col("short") + 1)).otherwise(F.col("longer") + (rest - long) / F.col("short"))
+    return cut.withColumn("turns", F.when(size > 0, passes * F.col("blocks") + F.round(last)).otherwise(0).cast("long"))
+
+
+def schedule(scratch: Scratch, goal: DataFrame) -> DataFrame:
+    """Rows (slot, rank, turn): the source of each slot and how many of its slots come before; ``goal`` holds (rank, turns).
+
+    Turns that no point gave are made up in slots after all others.
+    """
     spark = goal.sparkSession
-    slots = -(-total // block)
+    slots = goal.agg(F.sum("turns")).first()[0] or 0
     line = Window.orderBy("rank")
     # the last stretch ends at _POINTS exactly
     edge = F.when(F.row_number().over(line) == F.count(F.lit(1)).over(Window.partitionBy()), F.lit(_POINTS)).otherwise(
-        F.least(F.round(F.sum("target").over(line) / F.lit(float(total)) * _POINTS).cast("long"), F.lit(_POINTS)))
+        F.least(F.round(F.sum("turns").over(line) / F.lit(float(max(slots, 1))) * _POINTS).cast("long"), F.lit(_POINTS)))
     stretch = goal.select("rank", edge.alias("to")).withColumn("since", F.coalesce(F.lag("to").over(line), F.lit(0)))
     width = -(-_POINTS // _GRID)
     cells = stretch.where("since < to").select("rank", "since", "to", F.explode(F.sequence(
@@ -88,14 +105,19 @@ def schedule(scratch: Scratch, goal: DataFrame, total: int, block: int = BLOCK_W
     points = points.withColumn("cell", F.floor(F.col("point") / width))
     chosen = points.join(cells, "cell").where("point >= since AND point < to").select(
         "slot", "rank", F.floor(F.col("slot") / BUCKET_ROWS).alias("bucket"))
-    return _bucketed(chosen, scratch, "slots", F.lit(1), ["slot"]).select("slot", "rank", F.col("before").alias("turn"))
+    given = _bucketed(chosen, scratch, "slots", F.lit(1), ["slot"]).select("slot", "rank", F.col("before").alias("turn"))
+    given = scratch.table(given.join(goal.select("rank", "turns"), "rank").where("turn < turns").select("slot", "rank", "turn"), "given")
+    have = given.groupBy("rank").agg(F.count(F.lit(1)).alias("have"))
+    missing = goal.join(have, "rank", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < turns").select(
+        "rank", F.explode(F.sequence(F.col("have"), F.col("turns") - 1)).alias("turn"))
+    return given.unionByName(missing.select((F.lit(slots) + F.col("turn")).alias("slot"), "rank", "turn"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_REPEAT, block: int | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_REPEAT, block: int = BLOCK_WORDS) -> DataFrame:
     """Rows (doc_id, row, size, source_size, target, taken), one per row of ``docs`` (doc_id, text, source).
 
     ``row`` is the hash of the text. ``taken`` counts the words of the row that the mix takes, repeats counted;
-    a row is taken ``repeat`` times at most. Null and empty texts have size
+    a row is taken ``repeat`` times at most. A source's sum is its target to half a block's words. Null and empty texts have size
     and taken 0. A null source is a source of its own, ranked last. Repeated
     rows and null ids stay and are shuffled by what they hold, so reruns agree.
     Only doc_id, text and source are read; an empty table gives no rows.
@@ -116,18 +138,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_R
     placed = scratch.table(_bucketed(mine, scratch, "docs", F.col("size"), ["shuffle", "doc_id", "row"]).drop("shuffle", "n"), "placed")
     if not total:
         return placed.select("doc_id", "row", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    block = block or min(BLOCK_WORDS, max(1, total // LEAST_SLOTS))
-    slots = schedule(scratch, goal.select("rank", "target"), total, block)
-    lengths = goal.select("rank", "source_size")
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    taken = slots.join(lengths, "rank").where(F.col("turn") < blocks * repeat).groupBy(
-        "rank", (F.col("turn") % blocks).alias("block")).agg(F.count(F.lit(1)).alias("times"))
+    goal = scratch.table(turns(goal.select("rank", "source_size", "target"), block).repartition(1), "turns")
+    blocks = goal.select("rank", "blocks", "short", "longer")
+    taken = schedule(scratch, goal.select("rank", "turns")).join(blocks, "rank").groupBy(
+        "rank", (F.col("turn") % F.col("blocks")).alias("block")).agg(F.count(F.lit(1)).alias("times"))
     taken = scratch.table(taken, "taken-blocks")
     # pieces of documents by block, and how often the schedule takes the block
+    step = F.col("short") + 1
+    edge = F.col("longer") * step  # words in the longer blocks
+
+    def block_of(word: Column) -> Column:
+        return F.when(word < edge, F.floor(word / step)).otherwise(F.col("longer") + F.floor((word - edge) / F.col("short")))
+
+    def start_of(number: Column) -> Column:
+        return number * F.col("short") + F.least(number, F.col("longer"))
+
     end = F.col("before") + F.col("size")
-    pieces = placed.where("size > 0").select("rank", "doc_id", "size", "before", F.explode(F.sequence(
-        F.floor(F.col("before") / block), F.floor((end - 1) / block))).alias("block"))
-    overlap = F.least(F.col("before") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("before"), F.col("block") * block)
+    pieces = placed.where("size > 0").join(blocks, "rank").select(
+        "rank", "before", "size", "short", "longer", F.explode(F.sequence(block_of(F.col("before")), block_of(end - 1))).alias("block"))
+    overlap = F.least(end, start_of(F.col("block") + 1)) - F.greatest(F.col("before"), start_of(F.col("block")))
     of_doc = scratch.table(pieces.join(taken, ["rank", "block"]).groupBy("rank", "before").agg(F.sum(overlap * F.col("times")).alias("taken")), "taken")
     out = placed.join(of_doc.withColumnsRenamed({"rank": "r", "before": "b"}),
                       (F.col("rank") == F.col("r")) & (F.col("before") == F.col("b")) & (F.col("size") > 0), "left")

@@ -9,7 +9,7 @@ from brute import mix_targets, words
 from pyspark.sql import functions as F
 
 from clickweave.llm import ball_tree, main_text, mixing, token_store
-from clickweave.llm.common import text_buffer
+from clickweave.llm.common import Scratch, text_buffer
 from clickweave.llm.queries import tokenizer_path
 
 
@@ -43,30 +43,71 @@ def test_large_scores_are_exact():
         assert sorted((-s, j) for s, j in best) == want
 
 
+def plain_taken(rows, want):
+    """Words that the mix takes of each row: rows (source, shuffle key, size) in shuffled order, blocks taken in turn until the target."""
+    out = {}
+    for source, target in want.items():
+        mine = sorted(r for r in rows if r[0] == source)
+        size = sum(r[2] for r in mine)
+        if not size:
+            out |= {r[:2]: 0 for r in mine}
+            continue
+        blocks = max(-(-size // 64), min(size, 64), 1)
+        length = [size // blocks + (j < size % blocks) for j in range(blocks)]
+        sums = [sum(length) * n + sum(length[:j]) for n in range(4) for j in range(blocks)]
+        turns = min(range(len(sums)), key=lambda t: (abs(sums[t] - target), -t))  # of as many words as the target, nearly
+        times = [t for j in range(blocks) for t in [turns // blocks + (j < turns % blocks)] * length[j]]  # of each word
+        at = 0
+        for r in mine:
+            out[r[:2]] = sum(times[at:at + r[2]])
+            at += r[2]
+    return out
+
+
 def test_mix(shipped, documents, odd_documents):
     small = shipped.createDataFrame([(1, "a b  c", "x"), (2, None, "x"), (3, "", None), (4, "q\n w", "é"), (5, "z " * 500, "b"), (6, "z " * 50, None),
                                      (None, "m n", "b")], "doc_id long, text string, source string")
-    for frame in (documents, odd_documents, small):
-        rows = frame.select("doc_id", "text", "source").collect()
+    tail = [(i, "w " * 20, f"small{i}") for i in range(30)] + [(100 + i, "w v " * 5000, "large") for i in range(60)]
+    tail = shipped.createDataFrame(tail, "doc_id long, text string, source string")
+    for frame in (documents, odd_documents, small, tail):
+        key = F.xxhash64(F.lit("mix"), F.col("doc_id"), F.xxhash64(F.col("text").cast("string")))
+        rows = frame.select("doc_id", "text", "source", key.alias("shuffle")).collect()
         size = collections.Counter()
         for r in rows:
             size[r.source] += len(words(r.text))
         want = mix_targets(dict(size))
+        given = [(r.source, (r.shuffle, r.doc_id is not None, r.doc_id or 0), len(words(r.text))) for r in rows]
+        single = len({r[:2] for r in given}) == len(given)  # no repeated rows
         got = mixing.mix(frame).collect()
         assert sorted(str((r.doc_id, r.size)) for r in got) == sorted(str((r.doc_id, len(words(r.text)))) for r in rows)
-        taken = collections.Counter()
-        for r in got:
-            source = next(s for s in want if size[s] == r.source_size and abs(want[s] - r.target) < 1e-6 * max(1, r.target))
-            taken[source] += r.taken
-            assert 0 <= r.taken <= 3 * r.size
-        assert all(abs(taken[s] - want[s]) <= max(3 * 64 + 3, 0.02 * want[s]) for s in want)
+        assert all(0 <= r.taken <= 3 * r.size for r in got)
+        if single:
+            plain = plain_taken(given, want)
+            told = {r.doc_id: plain[r.source, (r.shuffle, r.doc_id is not None, r.doc_id or 0)] for r in rows}
+            assert {r.doc_id: r.taken for r in got if r.doc_id is not None} == {d: n for d, n in told.items() if d is not None}
+        for s in want:
+            mine = sum(r.taken for r in got if r.source_size == size[s] and abs(want[s] - r.target) < 1e-6 * max(1, r.target))
+            alike = sum(size[o] == size[s] and abs(want[o] - want[s]) < 1e-6 * max(1, want[s]) for o in want)
+            assert abs(mine - alike * want[s]) <= alike * min(33, size[s] / 2 + 1)
         again = mixing.mix(frame.repartition(3)).collect()
         assert sorted(map(str, again)) == sorted(map(str, got))
+    assert {r.taken for r in mixing.mix(tail).where("size = 20").collect()} == {60}  # every small source reaches three times its size
     assert mixing.mix(documents.limit(0)).count() == 0
     whole = mixing.mixed_documents(odd_documents)
     assert whole.columns == odd_documents.columns and whole.where("text IS NULL OR trim(text) = ''").count() == 0
 
 
+def test_schedule_gives_every_turn_once_and_stays_near_the_shares(shipped):
+    goal = shipped.createDataFrame([(0, 5000), (1, 1), (2, 0), (3, 2500), (4, 3), (5, 1)], "rank int, turns long")
+    slots = mixing.schedule(Scratch(shipped, "test"), goal).orderBy("slot").collect()
+    seen = collections.defaultdict(list)
+    for i, r in enumerate(slots):
+        seen[r["rank"]].append(r["turn"])
+        if i % 500 == 499:
+            assert abs(len(seen[0]) - (i + 1) * 5000 / 7505) <= 4
+    assert {k: v for k, v in seen.items()} == {0: list(range(5000)), 1: [0], 3: list(range(2500)), 4: [0, 1, 2], 5: [0]}
+
+
 def test_targets(shipped):
     rnd = random.Random(4)
     for _ in range(4):
