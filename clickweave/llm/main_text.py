@@ -6,13 +6,19 @@ occurs. Subtrees that recur across many pages of a host are its template.
 Pages of a host with the same text are copies and count as one page: what only
 copies share is their article.
 
-What is deleted: elements whose tag, role, class or id says that they are not
-the article (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts), and template subtrees. A page's article is its <article>
-or <main>, else its body. Inside an article a recurring paragraph, heading or
-list item is text that several pages quote and stays; only recurring
-containers go. Elsewhere all recurring blocks go. <html>, <body> and an element
-that alone holds all text of the page or article are never template.
+What is deleted: template subtrees, and elements whose tag, role, class or id
+says that they are not the article (menus, headers, footers, sidebars, notices,
+adverts, forms, comments, scripts). A class or id counts only as a whole word
+whose head says so ("site-sidebar", "comment-list", not "no-sidebar" or
+"related-work"), never for a paragraph, heading or list item, and never for the
+element that alone holds the page's text: if names leave a page without text,
+they are set aside. The <header> of an article holds its title and stays.
+
+A page's article is its <article> elements and each <main> without one, else
+its body. Inside an article a recurring paragraph, heading or list item is text
+that several pages quote and stays; only recurring containers go. Elsewhere all
+recurring blocks go. <html>, <body> and an element that alone holds all text of
+the page or article are never template.
 """
 
 from __future__ import annotations
@@ -44,9 +50,12 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
                    "main menu nav ol p pre section table ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
-NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|header|footer|"
-                   r"masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|"
-                   r"comments?|disqus|replies|pagination|pager|widget|skip)(?:$|[\s_-])", re.I)
+# a class or id whose head is one of these words, maybe with a plain word of layout behind it
+NAMES = re.compile(r"(?:[a-z0-9]+[_-]+)*(?:ads?|advert|adverts|advertisement|advertising|sponsor|sponsors|sponsored|promo|promos|promotion|banner|nav|navbar|"
+                   r"navigation|menu|breadcrumbs?|sidebar|header|footer|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|share|"
+                   r"sharing|social|related|comments?|commentlist|respond|disqus|replies|pagination|pager|widget|skip|skiplink)"
+                   r"(?:[_-]+(?:list|area|section|box|wrap|wrapper|container|block|bar|inner|items?|links?|thread|form|top|bottom|left|right|\d+))*", re.I)
+NEGATIONS = ("no", "not", "has", "with", "without", "hide", "is")  # "no-sidebar" tells of a page without one
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
                     r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -129,44 +138,58 @@ def digest(root: Node) -> None:
         node.digest = state.intdigest()
 
 
-def boilerplate(node: Node) -> bool:
-    """Whether the element's own tag or attributes say that it isn't article text."""
+def named(node: Node) -> bool:
+    """Whether a class or the id names something beside the article."""
+    for word in (*node.attributes.get("class", "").split(), node.attributes.get("id", "")):
+        if NAMES.fullmatch(word) and re.split("[_-]", word.lower())[0] not in NEGATIONS:
+            return True
+    return False
+
+
+def boilerplate(node: Node, names: bool = True, inside: bool = False) -> bool:
+    """Whether the element's own tag or attributes say that it isn't article text; ``inside``: it stands in an article."""
     if node.tag in DROPPED:
-        return True
+        return not (inside and node.tag == "header")
     a = node.attributes
     if not a or node.tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES or _HIDDEN.search(a.get("style", "")):
         return True
-    return bool(NAMES.search(a.get("class", "")) or NAMES.search(a.get("id", "")))
+    return names and node.tag not in PARAGRAPHS and named(node)
 
 
-def article_roots(root: Node) -> list[Node]:
-    """The outermost <article> elements outside boilerplate, else <main>, else the whole page."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
-    todo = [(root, False)]
+def article_roots(root: Node, names: bool = True) -> list[Node]:
+    """The outermost <article> elements outside boilerplate and each <main> without one, in page order; else the whole page."""
+    found: list[Node] = []
+    holds: set[int] = set()  # <main> elements with an article inside
+    todo: list[tuple[Node, Node | None]] = [(root, None)]
     while todo:
-        node, inside = todo.pop()
-        if node.tag in found and not (inside and node.tag == "article"):
-            found[node.tag].append(node)
-        inside |= node.tag == "article"
-        todo += [(p, inside) for p in reversed(node.parts) if not isinstance(p, str) and not boilerplate(p)]
-    return found["article"] or found["main"] or [root]
+        node, main = todo.pop()
+        if node.tag == "article":
+            found.append(node)
+            if main:
+                holds.add(id(main))
+            continue
+        if node.tag == "main":
+            found.append(node)
+            main = node
+        todo += [(p, main) for p in reversed(node.parts) if not isinstance(p, str) and not boilerplate(p, names)]
+    return [n for n in found if id(n) not in holds] or [root]
 
 
-def sole_containers(articles: list[Node]) -> set[int]:
+def sole_containers(articles: list[Node], names: bool = True) -> set[int]:
     """Ids of the elements that alone hold all that an article or the page's body shows."""
     out = set()
     for node in articles:
         while node:
-            shown = [p for p in node.parts if (p.strip() if isinstance(p, str) else not boilerplate(p) and shows_text(p))]
+            shown = [p for p in node.parts if (p.strip() if isinstance(p, str) else not boilerplate(p, names, p.tag == "header" and node.tag in ("article", "main")) and shows_text(p, names))]
             body = [p for p in shown if not isinstance(p, str) and p.tag in ("html", "body")]
             node = body[0] if body else shown[0] if len(shown) == 1 and not isinstance(shown[0], str) else None
             out.add(id(node))
     return out
 
 
-def shows_text(node: Node) -> bool:
+def shows_text(node: Node, names: bool = True) -> bool:
     """Whether an element holds text outside boilerplate."""
     todo = [node]
     while todo:
@@ -174,7 +197,7 @@ def shows_text(node: Node) -> bool:
             if isinstance(part, str):
                 if part.strip():
                     return True
-            elif not boilerplate(part):
+            elif not boilerplate(part, names):
                 todo.append(part)
     return False
 
@@ -182,15 +205,16 @@ def shows_text(node: Node) -> bool:
 def countable(root: Node) -> set[int]:
     """Hashes of the page's subtrees that can be template: blocks outside boilerplate, and containers inside the article."""
     digest(root)
-    roots = article_roots(root)
+    names = relies_on_names(root)
+    roots = article_roots(root, names)
     articles = {id(x) for x in roots if x is not root}
-    kept = articles | sole_containers(roots)
+    kept = articles | sole_containers(roots, names)
     out, todo = set(), [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside |= id(node) in articles
         for part in node.parts:
-            if not isinstance(part, str) and not boilerplate(part):
+            if not isinstance(part, str) and not boilerplate(part, names, inside):
                 if part.tag not in INLINE and part.tag not in ("html", "body") and id(part) not in kept and not (inside and part.tag in PARAGRAPHS):
                     out.add(part.digest)
                 todo.append((part, inside))
@@ -205,10 +229,19 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     return text_of(root, template)
 
 
+def relies_on_names(root: Node) -> bool:
+    """Whether classes and ids may delete elements: not where that leaves a page without any of its text."""
+    return bool(_text(root, frozenset(), True)) or not _text(root, frozenset(), False)
+
+
 def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
     """``main_text`` of a parsed page, its subtrees hashed if there is a template."""
-    roots = article_roots(root)
-    kept = sole_containers(roots) if template else set()
+    return _text(root, template, relies_on_names(root))
+
+
+def _text(root: Node, template: frozenset[int], names: bool) -> str:
+    roots = article_roots(root, names)
+    kept = sole_containers(roots, names) if template else set()
     blocks: list[str] = []
     line: list[str] = []
 
@@ -229,7 +262,7 @@ def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
                 line.append(part)
             elif part.tag == "br":
                 line.append(" ")
-            elif part is not article and (boilerplate(part) or part.digest in template and part.tag not in INLINE
+            elif part is not article and (boilerplate(part, names, inside) or part.digest in template and part.tag not in INLINE
                                           and part.tag not in ("html", "body") and id(part) not in kept and not (inside and part.tag in PARAGRAPHS)):
                 if part.tag not in INLINE and part.tag not in RAW:
                     flush()

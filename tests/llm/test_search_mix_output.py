@@ -165,6 +165,14 @@ def test_pieces_give_the_tokenizers_ids():
      "<aside>q</aside><ul><li>one<li>two</ul>tail</article><footer>f", "T & U\na b c\nd\none\ntwo\ntail"),
     ("<article><p>a<script>if(a<b)'</p>'</script>b<!-- c --></p><p class=lead>x<br>y</p></article>", "ab\nx y"),
     ("<body><div id=cookie-notice>ok?</div><main><p>one</p><form><p>mail</p></form></main><p>outside</p>", "one"),
+    ("<body><div class='content no-sidebar'><p>Hello world</p></div></body>", "Hello world"),
+    ("<body><div class='post sidebar'><p>Hello world</p></div></body>", "Hello world"),  # the sole container
+    ("<article><header><h1>Title</h1></header><p>a</p><footer>by me</footer></article>", "Title\na"),
+    ("<article><p>a</p><div class='related-work'><p>b</p></div><p class='notice'>c</p><p class=share>d</p></article>", "a\nb\nc\nd"),
+    ("<article><p>a</p></article><ol class='commentlist'><li>Nice</li></ol><div id=comments><p>Hey</p></div>", "a"),
+    ("<body><p>a</p><ol class='commentlist'><li>Nice</li></ol><div class='site-sidebar'>x</div><div class='comment-list-2'>y</div></body>", "a"),
+    ("<main><p>First</p></main><article><p>Second</p></article>", "First\nSecond"),
+    ("<main><p>Around</p><article><p>Inner</p></article></main>", "Inner"),
     ("<p>kept<div hidden>gone</div><div style='display: none'>gone</div>&#233;&nbsp;x", "kept\né x")])
 def test_main_text_of_a_page(page, text):
     assert main_text.main_text(page) == text
@@ -183,6 +191,23 @@ def test_template_removal(shipped):
     assert main_text.extract_main_text(shipped.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_template_decides_where_no_name_and_no_article_does(shipped):
+    page = ("<body><div class=top><a href=/>Home</a><a href=/shop>Shop</a></div><div class=layout><div class=c{1}><p>Story {0} begins</p><p>and ends {0}</p></div>"
+            "<div class=r><p>Follow us</p><p>Call {1}</p></div></div><div class=bottom>All rights kept {1}</div></body>")
+    rows = [(i, f"https://t.example/{i}", page.format(i, i % 3)) for i in range(60)]
+    rows.append((60, "https://t.example/60", "<body><p>" + "long words " * 100_000 + "</p></body>"))
+    frame = shipped.createDataFrame(rows, "page_id long, url string, html string")
+    clash = frame.withColumns({c: frame["page_id"] for c in ("host", "template", "digest", "page", "n", "pages", "n_chars")})
+    got = {r.page_id: r.text for r in main_text.extract_main_text(clash.select("page_id", "url", "html", "host", "template", "digest")).collect()}
+    assert all(got[i] == f"Story {i} begins\nand ends {i}" for i in range(60)) and got[60] == ("long words " * 100_000).strip()
+    alone = main_text.main_text(rows[0][2])
+    assert alone.startswith("HomeShop") and "Follow us" in alone  # only the counts tell the template
+    # counts against a plain version: pages of the host that hold the subtree
+    held = collections.Counter(d for _, _, h in rows for d in main_text.countable(main_text.parse(h)))
+    template = frozenset(d for d, n in held.items() if n >= 5 and n >= 0.1 * len(rows))
+    assert got == {i: main_text.main_text(h, template) for i, _, h in rows}
+
+
 def test_copied_pages_and_large_hosts(shipped):
     plain = "<html><head><title>{0}</title></head><body><div class=x><p>Shop</p></div><div><h1>Story {0}</h1><p>Of {0}</p></div></body></html>"
     boxed = "<html><body><nav>{1}</nav><article><section><p>Tale {0}</p></section><div><ul><li>One</ul></div></article></body></html>"
