@@ -147,6 +147,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0).take(who), part.column(1).take(who), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
                                           pa.array(source, pa.int64())], ["doc", "row", "start", "end", "source_id"])
 
+RANGE_WORDS = 4  # of a context that decide its range
+
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """Rows (doc_id, row, start, end, source_id): the word spans [start, end) whose every word lies in ``window`` words
@@ -182,7 +184,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
 
     def extents(side: str, other: str) -> DataFrame:
         keys = ["gram", side, other]
-        ordered = contexts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # ranges by the first words only: the driver samples them, whole word lists would grow with the texts
+        near = contexts.withColumn("near", F.slice(side, 1, RANGE_WORDS))
+        ordered = near.repartitionByRange("gram", "near").sortWithinPartitions(*keys)
         return scratch.table(ordered.select("gram", "around", side).mapInArrow(_extents, "gram long, around long, extent int"), f"extents-{side}")
 
     right, left = extents("after", "before"), extents("before", "after")

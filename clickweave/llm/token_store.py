@@ -216,6 +216,9 @@ def _encode(path: str, bits: int, end_id: int):
     return run
 
 
+RANGE_BYTES = 128 << 20  # of text in one range of ids, about
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = END_ID) -> None:
     """Encode every text of ``docs`` and write packed shards, in ascending doc_id order, to the table at ``path``.
 
@@ -224,7 +227,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
     hashes. An empty table writes an empty one. Other columns are not read.
     """
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    held = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // RANGE_BYTES), 1)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select(
         "doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h")
     ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(
