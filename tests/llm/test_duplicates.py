@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import NONE, components, lowered, patchwork, removed, spans, words
 
@@ -12,16 +13,43 @@ def _key(row):
     return tuple(NONE if x is None else x for x in row)
 
 
+@pytest.mark.parametrize("references", [1, 4, 256])
 @pytest.mark.parametrize("vocabulary", [["a", "b", "é"], [f"w{i}" for i in range(40)]])
-def test_copied_words_are_exact(shipped, vocabulary):
+def test_copied_words_are_exact(shipped, vocabulary, references):
     rows = patchwork(3, vocabulary)
     frame = shipped.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in relative_lz.remove_copied(frame, 12, 5).collect()]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in relative_lz.remove_copied(frame, 12, 5, references=references).collect()]
     assert sorted(got, key=_key) == sorted(removed(rows, 12), key=_key)
     found = {(r.doc_id, r.start, r.end, r.source_id) for r in suffix_array.repeated_passages(frame, 12, 5).collect()}
     assert found == spans(rows, 12)
 
 
+def test_greedy_factors():
+    """The longest match first, then from the first window it does not hold; short matches are passed over."""
+    low, high = np.array([0, 2, 0, 7, 30]), np.array([9, 16, 12, 22, 34])
+    assert relative_lz.greedy(low, high, 8) == [(0, 12, 2), (5, 16, 1), (9, 22, 3)]
+    assert relative_lz.greedy(low[4:], high[4:], 8) == []
+    rnd = random.Random(5)
+    for _ in range(200):
+        low = np.array([rnd.randrange(40) for _ in range(6)])
+        high = low + np.array([rnd.randrange(30) for _ in low])
+        found = relative_lz.greedy(low, high, 8)
+        windows = {w for a, b, _ in found for w in range(a, b - 7)}
+        assert windows == {w for a, b in zip(low, high) for w in range(a, b - 7)}
+        assert all(low[j] <= a and high[j] == b for a, b, j in found)
+
+
+def test_factors_name_their_source(shipped):
+    """A passage between words of its own: one factor, from the smallest document that has it."""
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(d, " ".join([f"a{d}x{i}" for i in range(40)] + passage + [f"b{d}x{i}" for i in range(40)])) for d in (7, 3, 9)]
+    rows += [(None, rows[0][1])]
+    _, spans = relative_lz.copied_spans(shipped.createDataFrame(rows, "doc_id long, text string"), Scratch(shipped, "test"))
+    got = {(r.doc, i): r.source for r in spans.collect() for i in range(r.start, r.end)}
+    assert {d for d, _ in got} == {7, 9, NONE} and {s for (d, _), s in got.items() if d == 9} == {3}
+    assert {i for d, i in got if d == 9} == set(range(40, 110)) and {i for d, i in got if d == NONE} == set(range(150))
+
+
 def test_copied_words_of_documents(documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     got = relative_lz.remove_copied(documents).collect()
