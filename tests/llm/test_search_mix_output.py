@@ -18,7 +18,8 @@ def _best(vectors, query, k):
     return [(i, -s) for s, i in scores[:k]]
 
 
-def test_top_k_with_ties_nulls_and_lengths(shipped):
+@pytest.mark.parametrize("limits", [{}, {"shard_values": 100, "query_block": 2}])
+def test_top_k_with_ties_nulls_and_lengths(shipped, limits):
     r = np.random.default_rng(2)
     whole = {int(i): r.integers(-3, 4, 6) for i in range(400)}
     for i in range(100, 300):
@@ -28,12 +29,30 @@ def test_top_k_with_ties_nulls_and_lengths(shipped):
     rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 6), (550, [float("inf")] * 6), (None, [1.0] * 6), rows[3]]
     frame = shipped.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", ball_tree.scaled(F.col("embedding")).alias("v"))
     got = collections.defaultdict(list)
-    for x in ball_tree.top_k(frame, F.col("vec_id") % 50 == 0, 5).orderBy("query_id", "rank").collect():
+    frame = frame.withColumns({c: F.lit(7) for c in ("dim", "cell", "shard", "asks", "floor", "score", "rank", "block")})
+    for x in ball_tree.top_k(frame, F.col("vec_id") % 50 == 0, 5, **limits).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x.vec_id, x.score))
     assert got == {q: _best(whole, q, 5) for q in whole if q % 50 == 0}
     assert ball_tree.top_k(frame.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_cells_are_pruned_by_bound():
+    """Queries near one of two far groups are never sent to the other, and no better cell is left out."""
+    r = np.random.default_rng(4)
+    rows = np.concatenate([r.integers(900, 1100, (50, 4)), r.integers(-1100, -900, (50, 4))]).astype(float)
+    cells = ball_tree.Cells([rows[0].tolist(), rows[50].tolist()])
+    cell, away = cells.nearest(4, rows)
+    assert (cell == np.repeat([0, 1], 50)).all()
+    cells.radii[4][:] = [away[:50].max(), away[50:].max()]
+    bound = cells.bounds(4, rows)
+    score = rows @ rows.T
+    assert (bound >= np.stack([score[:, :50].max(axis=1), score[:, 50:].max(axis=1)], axis=1)).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(100)), pa.array(rows.astype(int).tolist(), pa.list_(pa.int64())),
+                                        pa.array(np.full(100, 4, np.int32)), pa.array(np.zeros(100))], ["vec_id", "v", "dim", "floor"])
+    sent = pa.Table.from_batches(list(ball_tree._route(cells, 0, 2)([batch]))).to_pydict()
+    assert sorted(zip(sent["vec_id"], sent["cell"])) == [(i, int(i >= 50)) for i in range(100)]
+
+
 def test_large_scores_are_exact():
     r = np.random.default_rng(3)
     v = r.integers(-2**40, 2**40, (200, 4))
