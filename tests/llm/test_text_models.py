@@ -205,6 +205,44 @@ def test_no_item_of_a_large_benchmark_is_lost(shipped):
     assert got == {(i, i) for i in range(700)}
 
 
+def test_space_finds_what_plain_cosine_misses(shipped):
+    """Six topics of 24 notions with two words each, used alike in the corpus. The planted text has the notions of an item
+    in order, 11 of them by their other word, among other words of the topic."""
+    r = np.random.default_rng(8)
+    word = lambda t, c, k: f"t{t}c{c}{'ab'[k]}"
+    bench = [(2 * t + k, " ".join(word(t, c, k) for c in range(24))) for t in range(6) for k in range(2)]
+    corpus = [(i, " ".join(word(i % 6, c, k) for c, k in zip(r.integers(0, 24, 64), r.integers(0, 2, 64)))) for i in range(600)]
+    told = " ".join(word(0, c, int(c < 11)) for c in range(24))
+    corpus.append((1000, " ".join(word(0, c, 1) for c in range(20)) + " " + told + " " + " ".join(word(0, c, 1) for c in range(20))))
+    frame = shipped.createDataFrame(corpus, "doc_id long, text string")
+    items = shipped.createDataFrame(bench, "item_id long, text string")
+    found = {rank: {(x.doc_id, x.item_id) for x in latent.contaminated(frame, items, rank=rank).collect()} for rank in (6, 1000)}
+    assert (1000, 0) in found[6] and (1000, 0) not in found[1000]
+    assert found[6] >= found[1000]
+
+
+def test_singular_vectors(shipped):
+    r = np.random.default_rng(2)
+    passages = [r.integers(0, 40, 30).tolist() for _ in range(90)]
+    idf, weights = r.random(40) + 0.5, r.random(90) + 0.5
+    frame = shipped.createDataFrame(list(zip(passages, weights.tolist())), "words array<long>, weight double")
+    got = latent.randomised_svd(frame, idf, rank=40)
+    rows = latent._unit(latent._rows(passages, idf)) * weights[:, None]
+    want = np.linalg.svd(rows, full_matrices=False)[2].T
+    assert np.allclose(np.abs((got * want).sum(axis=0)), 1, atol=1e-6)
+    few = latent.randomised_svd(frame, idf, rank=5)
+    best = (np.linalg.svd(rows)[1][:5]**2).sum()
+    assert few.shape == (40, 5) and ((rows @ few)**2).sum() > 0.98 * best
+
+
+def test_long_item(shipped):
+    r = np.random.default_rng(3)
+    text = " ".join(f"w{x}" for x in r.integers(0, 900, 3000))
+    bench = shipped.createDataFrame([(1, text), (2, "a short item beside the long one")], "item_id long, text string")
+    frame = shipped.createDataFrame([(1, "before it " + text + " after it"), (2, " ".join(text.split()[:300])), (3, "none of it")], "doc_id long, text string")
+    assert [(x.doc_id, x.item_id, x.kind) for x in latent.contaminated(frame, bench).collect()] == [(1, 1, "verbatim")]
+
+
 def test_contamination_of_nothing(shipped, documents, odd_documents):
     bench = shipped.createDataFrame([(1, None), (None, "some item of a few words"), (2, ""), (2, "")], "item_id long, text string")
     assert latent.contaminated(odd_documents, bench).count() == 0
