@@ -77,3 +77,26 @@ def test_bags_follow_from_the_keys(train):
 def test_one_class_is_an_error(train):
     with LogisticRows(train.where("label = 1"), COLS) as rows, pytest.raises(ValueError):
         rows.fit([Model()])
+
+
+def test_areas_of_blocks_equal_those_of_rows(train, monkeypatch):
+    from clickweave.operators import many_logistic
+
+    models = [Model(fold=f, c=c) for f in (None, 0, 3) for c in (0.1, 10.0)]
+    with LogisticRows(train, COLS) as rows:
+        fitted = rows.fit(models)
+        want = {(r["model"], r["side"]): r["roc_auc"] for r in areas(rows.scores(models, fitted)).collect()}
+        for range_rows in (1 << 20, 100):  # one range of scores, and nine
+            monkeypatch.setattr(many_logistic, "RANGE_ROWS", range_rows)
+            assert {(r["model"], r["side"]): r["roc_auc"] for r in rows.areas(models, fitted).collect()} == pytest.approx(want, abs=1e-12)
+        tests = {r["model"] for r in rows.areas(models, fitted, sides=(1,)).collect()}
+    assert tests == {i for i, m in enumerate(models) if m.fold is not None}
+
+
+def test_a_part_of_the_rows_is_learned_as_if_the_rest_were_gone(train):
+    parted = train.withColumn("part", training.unit_hash("session_id", 7))
+    with LogisticRows(parted, COLS) as rows:
+        one, = rows.fit([Model(below=0.4, fold=1)])
+    with LogisticRows(parted.where("part < 0.4 AND fold <> 1"), COLS) as rows:
+        two, = rows.fit([Model()])
+    assert np.allclose(one.weights, two.weights) and one.intercept == pytest.approx(two.intercept)
