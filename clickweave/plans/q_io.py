@@ -17,7 +17,7 @@ from clickweave.plans import q_labels as QL
 from clickweave.plans import q_models as QM
 from clickweave.plans import standins as T
 from clickweave.plans.registry import register
-from clickweave.session import checkpoint_dir
+from clickweave.session import checkpoint_dir, shared_table
 from clickweave.sources import files
 from clickweave.sources.tables import EVENT_CLICKS_CTE, raw_clicks
 
@@ -61,12 +61,13 @@ def q_write_session_tables(spark, sf):
           QC.summary_select(QC.SUMMARY_COLS) + " FROM summ")
 def q_write_cluster_outputs(spark, sf):
     base = _path(spark, "cluster_outputs")
-    assigned = T.assignments(spark, sf, QC.K)
-    z, a, cent = QC._space(spark, sf)
+    f = shared_table(QC.feats_full(spark, sf), "features")  # all four tables come from one build of the clicks
+    assigned = T.assigned(f, QC.K)
+    z, a, cent = QC._space(spark, sf, f)
     distances = clusters.distance_to_own(z, a, QC.SPACE, cent).select("session_id", "cluster_id", "distance_to_centroid")
     # all four tables are written; the summary is read back for the check
     paths = files.write_cluster_outputs(
-        {"assignments": assigned, "summary": QC.summary(spark, sf).select(*QC.SUMMARY_COLS),
+        {"assignments": assigned, "summary": QC.summary(spark, sf, f).select(*QC.SUMMARY_COLS),
          "representatives": ordering.cluster_representatives(distances, top_n=5),
          "labeled_sessions": clusters.manual_cluster_labels(assigned, T.cluster_label_map(spark))},
         {"k": 8, "assignments": "session_id % 8"}, base)
