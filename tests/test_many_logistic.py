@@ -100,3 +100,12 @@ def test_a_part_of_the_rows_is_learned_as_if_the_rest_were_gone(train):
     with LogisticRows(parted.where("part < 0.4 AND fold <> 1"), COLS) as rows:
         two, = rows.fit([Model()])
     assert np.allclose(one.weights, two.weights) and one.intercept == pytest.approx(two.intercept)
+
+
+def test_weighted_rows_equal_a_single_fit(train):
+    weighted = training.class_weights(train)
+    part = weighted.where("fold <> 1 AND session_id < 500")
+    lr = training.model_logistic(COLS, scaled=True, n=part.count()).fit(part).stages[-1]
+    with LogisticRows(part, COLS, weighted=True) as rows:
+        one, = rows.fit([Model()])
+    assert np.allclose(one.scaled[:3], lr.coefficients.toArray()[:3], rtol=1e-4, atol=1e-5)
