@@ -109,3 +109,20 @@ def test_weighted_rows_equal_a_single_fit(train):
     with LogisticRows(part, COLS, weighted=True) as rows:
         one, = rows.fit([Model()])
     assert np.allclose(one.scaled[:3], lr.coefficients.toArray()[:3], rtol=1e-4, atol=1e-5)
+
+
+def test_step_limits_share_a_path(train, monkeypatch):
+    models = [Model(c=c, fold=f, max_iter=limit) for c in (1.0, 10.0) for limit in (2, 50, 500, 1000) for f in (0, 1)]
+    asked, plain = [], LogisticRows._derivatives
+    monkeypatch.setattr(LogisticRows, "_derivatives", lambda self, units, of, *more: asked.append(len(of)) or plain(self, units, of, *more))
+    with LogisticRows(train, COLS) as rows:
+        many = rows.fit(models)
+        assert max(asked) == 4  # 2 strengths on 2 folds
+        for m, got in [*zip(models, many)][:3]:
+            one, = rows.fit([m])
+            assert np.allclose(one.weights, got.weights) and one.intercept == pytest.approx(got.intercept) and one.steps == got.steps
+        assert many[0].steps == 2 < many[2].steps
+        found = {(r["model"], r["side"]): r["roc_auc"] for r in rows.areas(models, many).collect()}
+        for r in rows.areas(models[2:3], many[2:3]).collect():
+            assert found[2, r["side"]] == pytest.approx(r["roc_auc"]) == found[6, r["side"]]
+        assert len(found) == 2 * len(models)
