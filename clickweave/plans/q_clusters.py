@@ -32,13 +32,18 @@ def feats_full(spark, sf):
     return features.build_session_features(raw_clicks(spark, sf), aggregation_mode="full_session")
 
 
+def feats_written(spark, sf, cols=FEATS):
+    """Full-session features, written once: steps that read them several times shuffle the clicks once."""
+    return shared_table(feats_full(spark, sf).select("session_id", *cols), "features")
+
+
 def feats_first(spark, sf):
     return features.build_session_features(raw_clicks(spark, sf, first_n=5), 5, "first_n")
 
 
 def scaled(spark, sf, cols=SPACE, f=None):
     if f is None:
-        f = shared_table(feats_full(spark, sf).select("session_id", *cols), "features")  # moments and rows from one build of the clicks
+        f = feats_written(spark, sf, cols)  # moments and rows from one build of the clicks
     return stats.standardize(f, cols)
 
 
@@ -110,7 +115,7 @@ corr_long AS (SELECT feature_a, feature_b, CAST(pos_a AS INTEGER) AS pos_a, CAST
 
 
 def _corr(spark, sf):
-    c = stats.correlation_matrix(feats_full(spark, sf), FEATS)
+    c = stats.correlation_matrix(feats_written(spark, sf), FEATS)
     return c.select("feature_a", "feature_b", F.col("pos_a").cast("int").alias("pos_a"),
                     F.col("pos_b").cast("int").alias("pos_b"), _r("corr"))
 
@@ -148,7 +153,7 @@ def q_drop_low_variance(spark, sf):
 @register("standardize", "I-06", BASE + scaled_cte(FEATS) + "\nSELECT session_id, "
           + ", ".join(f"round({c}, 6) AS {c}" for c in FEATS) + " FROM scaled")
 def q_standardize(spark, sf):
-    z = stats.standardize(feats_full(spark, sf), FEATS)
+    z = stats.standardize(feats_written(spark, sf), FEATS)
     return z.select("session_id", *[_r(c) for c in FEATS])
 
 

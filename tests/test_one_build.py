@@ -39,6 +39,21 @@ def test_features_are_written_before_they_are_read_again(spark, built):
     assert "Aggregate" not in plan and "Join" not in plan
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_statistics_read_written_features(spark, built, monkeypatch):
+    sf, _ = built
+    seen = []
+    for name in ("correlation_matrix", "standardize"):
+        monkeypatch.setattr(q_clusters.stats, name, lambda df, cols, name=name, real=getattr(q_clusters.stats, name): (seen.append((name, plan(df))), real(df, cols))[1])
+    for key in ("correlation_matrix", "high_corr_pairs", "standardize"):
+        assert REGISTRY[key].build(spark, sf).count()
+    assert [name for name, _ in seen] == ["correlation_matrix", "correlation_matrix", "standardize"]
+    assert not any(step in text for _, text in seen for step in ("Join", "Aggregate", "Window"))
+
+
 def test_a_large_table_is_spread_over_more_tasks(spark, monkeypatch):
     table = shared_table(spark.range(5000).select((F.col("id") % 900).alias("session_id"), "id"), "rows")
     assert spread(table, "session_id") is table
