@@ -46,3 +46,12 @@ def test_all_cluster_tables_are_written(monkeypatch, spark):
     assert q_io.q_write_cluster_outputs(spark, "/root/testdata/sf0.001").count() == 8
     assert set(seen) == {"assignments", "summary", "representatives", "labeled_sessions"}
     assert seen["representatives"].groupBy("cluster_id").count().where("count = 5").count() == 8
+
+
+def test_stack_grids_are_the_published_ones():
+    trees = q_models.stacking.TREES
+    assert {name: len({str(sorted(params.items())) for params in grid}) for name, grid in trees.items()} == {"random_forest": 64, "gbt_a": 64, "gbt_b": 64}
+    values = {name: {key: {params[key] for params in grid} for key in grid[0]} for name, grid in trees.items()}
+    assert values["random_forest"] == {"numTrees": {100, 200, 300, 500}, "maxDepth": {5, 10, 20, 30}, "minInstancesPerNode": {1, 2}, "featureSubsetStrategy": {"sqrt", "log2"}}
+    boosted = {"maxIter": {100, 200}, "maxDepth": {3, 5, 7, 10}, "stepSize": {0.01, 0.1}, "subsamplingRate": {0.8, 1.0}, "featureSubsetStrategy": {"0.8", "all"}}
+    assert values["gbt_a"] == boosted and values["gbt_b"] == {**boosted, "minInstancesPerNode": {20}}
